@@ -1,0 +1,27 @@
+"""Join helpers: size-checked broadcast and the 1-row scalar join."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# Default ceiling for a broadcast side, in rows. Derived frames in this library that go
+# through the check are one row per (day, ticker) or per ticker, far below it.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+
+    The check is a ``limit(max_rows + 1).count()`` job, so it stops early on a large
+    input. Above the bound the frame is returned unhinted and the join stays a shuffle
+    join (AQE may still split skewed partitions or broadcast from runtime sizes).
+    Callers pass frames that are cheap to count (aggregates of a checkpointed summary).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a frame that has exactly one row (a global aggregate).
+    A 1-row build side is the only cross join used anywhere in the library."""
+    return df.crossJoin(F.broadcast(one_row))
