@@ -5,8 +5,9 @@ from __future__ import annotations
 
 def all_queries():
     from ledgerframe.plans.market_catalog import QUERIES as market
+    from ledgerframe.plans.music_catalog import QUERIES as music
     out = {}
-    for part in (market,):
+    for part in (market, music):
         dup = set(out) & set(part)
         if dup:
             raise ValueError(f"duplicate query keys: {sorted(dup)}")
