@@ -56,16 +56,21 @@ def running_max(df: DataFrame, order_col: str, value_col: str, out_col: str,
 
 
 def global_row_index(df: DataFrame, order_col: str, out_col: str = "_idx",
-                     block: Column | None = None) -> DataFrame:
+                     block: Column | None = None, partition: list[str] | None = None) -> DataFrame:
     """1-based position of each row in ``order_col`` order (ties broken arbitrarily,
-    as ``row_number`` does), from per-block counts plus an in-block row_number."""
+    as ``row_number`` does), from per-block counts plus an in-block row_number.
+    With ``partition`` the numbering restarts per partition key; a key with many rows
+    is still numbered by one task per (key, block), not one task per key."""
+    part = list(partition or [])
     blk = block if block is not None else _month_block(order_col)
     d = df.withColumn(_B, blk)
-    counts = d.groupBy(_B).agg(F.count(F.lit(1)).alias("_bn"))
-    carry_w = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    carry = counts.select(_B, F.coalesce(F.sum("_bn").over(carry_w), F.lit(0)).alias("_carry"))
-    in_blk = Window.partitionBy(_B).orderBy(order_col)
-    return (d.join(F.broadcast(carry), _B)
+    counts = d.groupBy(*part, _B).agg(F.count(F.lit(1)).alias("_bn"))
+    carry_w = Window.partitionBy(*part).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    carry = counts.select(*part, _B, F.coalesce(F.sum("_bn").over(carry_w), F.lit(0)).alias("_carry"))
+    in_blk = Window.partitionBy(*part, _B).orderBy(order_col)
+    # one carry row per (key, block): small next to the rows it numbers
+    carry_side = carry if part else F.broadcast(carry)
+    return (d.join(carry_side, [*part, _B])
             .withColumn(out_col, F.col("_carry") + F.row_number().over(in_blk))
             .drop(_B, "_carry"))
 

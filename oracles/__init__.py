@@ -11,7 +11,8 @@ rather than repeating them. Decimal outputs are cast to DOUBLE, matching
 def all_oracles() -> dict[str, str]:
     from oracles.market import MARKET_SQL
     from oracles.music import MUSIC_SQL
+    from oracles.etl import ETL_SQL
     out = {}
-    for part in (MARKET_SQL, MUSIC_SQL):
+    for part in (MARKET_SQL, MUSIC_SQL, ETL_SQL):
         out.update(part)
     return out
