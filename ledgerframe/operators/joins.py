@@ -1,4 +1,5 @@
-"""Join helpers: size-checked broadcast and the 1-row scalar join."""
+"""Join helper: size-checked broadcast. (Global one-row values such as date bounds
+are attached with ``DataFrame.scalar()`` subqueries instead of cross joins.)"""
 
 from __future__ import annotations
 
@@ -20,8 +21,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
-
-def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a frame that has exactly one row (a global aggregate).
-    A 1-row build side is the only cross join used anywhere in the library."""
-    return df.crossJoin(F.broadcast(one_row))

@@ -58,12 +58,11 @@ def _with_key_reasons(df: DataFrame, dup: Column, extra_flag: str | None) -> Dat
 def full_refresh_rows(df: DataFrame, contract: Contract, bad_flag: str | None = None) -> DataFrame:
     """A15 / A22 semantics: the load is all-or-nothing. Returns the typed rows when no
     row violates the contract, the strict-date flag or the primary key, otherwise an
-    empty frame. The verdict is a 1-row global aggregate, broadcast back (lazy)."""
+    empty frame. The verdict is a global count evaluated once as a scalar subquery."""
     checked = enforce_contract(df, contract).withColumn(IN_TARGET, F.lit(False))
     checked = checked.withColumn("_bad", _bad(bad_flag) | _dup_in_load(contract.pk))
-    verdict = checked.agg(F.count_if(F.col("_bad")).alias("_n_bad"))
-    out = checked.crossJoin(F.broadcast(verdict)).filter(F.col("_n_bad") == 0)
-    return out.select(*contract.columns)
+    n_bad = checked.select(F.count_if(F.col("_bad"))).scalar()
+    return checked.filter(n_bad == 0).select(*contract.columns)
 
 
 def full_refresh(df: DataFrame, path: str) -> None:

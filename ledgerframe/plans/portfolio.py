@@ -98,11 +98,12 @@ def trade_activity(calendar: DataFrame, trades: DataFrame,
 
 
 def trades_to_date(calendar: DataFrame, trades: DataFrame, closedate) -> DataFrame:
-    """Every trade on or before one calendar date. The calendar side is filtered to
-    at most one row before the range join, so the join is a 1-row broadcast."""
-    day = calendar.filter(F.col("closedate") == F.lit(to_date(closedate))).select("closedate")
-    return (trades.join(F.broadcast(day), trades.tradedate <= day.closedate)
-            .select("closedate", "orderid", "tradedate", "ticker", "action", "shares", "tradeprice"))
+    """Every trade on or before one calendar date (no rows when the calendar does
+    not hold the date). The calendar lookup is a scalar subquery, so the trade scan is
+    a plain filter: no join, no shuffle."""
+    day = calendar.filter(F.col("closedate") == F.lit(to_date(closedate))).select(F.max("closedate")).scalar()
+    return (trades.filter(F.col("tradedate") <= day)
+            .select(day.alias("closedate"), "orderid", "tradedate", "ticker", "action", "shares", "tradeprice"))
 
 
 # ------------------------------------------------------------------ K25 positions
@@ -122,11 +123,11 @@ def net_positions(trades: DataFrame, calendar: DataFrame,
                    F.col("net_shares").alias("delta"), F.col("tradedate").alias("td"),
                    F.lit(False).alias("is_day"))
     first = s.groupBy("ticker").agg(F.min("tradedate").alias("first_day"))
-    bounds = calendar.agg(F.min("closedate").alias("lo"), F.max("closedate").alias("hi"))
-    spine_dates = (first.crossJoin(F.broadcast(bounds))
-                   .withColumn("start", F.greatest("first_day", "lo"))
-                   .filter(F.col("start") <= F.col("hi"))
-                   .select("ticker", F.explode(F.sequence("start", "hi")).alias("closedate")))
+    lo = calendar.select(F.min("closedate")).scalar()
+    hi = calendar.select(F.max("closedate")).scalar()
+    spine_dates = (first.withColumn("start", F.greatest(F.col("first_day"), lo))
+                   .filter(F.col("start") <= hi)
+                   .select("ticker", F.explode(F.sequence(F.col("start"), hi)).alias("closedate")))
     # keep only real calendar rows (the calendar may be sparse in general)
     spine = spine_dates.join(F.broadcast(calendar.select("closedate")), "closedate").select(
         "closedate", "ticker", F.lit(None).cast("bigint").alias("delta"),

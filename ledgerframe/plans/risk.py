@@ -173,8 +173,8 @@ def trade_pnl_as_of_last_price(trades: DataFrame, closeprices: DataFrame) -> Dat
     shares, where 'sell' matches case-insensitively. Tickers without a price on that
     date are dropped. The last-price frame has one row per ticker and is broadcast
     after a size check, so the blotter is streamed, never shuffled."""
-    last_day = closeprices.agg(F.max("closedate").alias("_last"))
-    last = (closeprices.join(F.broadcast(last_day), F.col("closedate") == F.col("_last"))
+    last_day = closeprices.select(F.max("closedate")).scalar()
+    last = (closeprices.filter(F.col("closedate") == last_day)
             .select(F.col("ticker").alias("_t"), F.col("closeprice").alias("last_closeprice")))
     j = trades.join(bounded_broadcast(last), trades.ticker == F.col("_t"))
     signed = signed_shares(case_sensitive=False)

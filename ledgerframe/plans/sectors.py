@@ -22,11 +22,12 @@ def load_sector_changes(table: DataFrame) -> DataFrame:
             .filter(F.col("start_date").isNotNull()))
 
 
-def _bound(value, data_value: Column) -> Column:
+def _bound(changes: DataFrame, value, default: Column) -> Column:
+    """A literal date, or a scalar subquery over ``changes`` (an aggregate Column)."""
     if value is None:
-        return data_value
+        value = default
     if isinstance(value, Column):
-        return value
+        return changes.select(value).scalar()
     return F.lit(str(value)).cast("date")
 
 
@@ -40,15 +41,13 @@ def sector_code_panel(changes: DataFrame, start=None, end=None) -> DataFrame:
     are ignored, so a later start forgets earlier codes (the reference re-indexes
     before filling). (symbol, start_date) must be unique (check with A14 first).
     """
-    bounds = changes.agg(_bound(start, F.min("start_date")).alias("lo"),
-                         _bound(end, F.current_date()).alias("hi"))
-    events = (changes.crossJoin(F.broadcast(bounds))
-              .filter(F.col("start_date").between(F.col("lo"), F.col("hi")))
+    lo = _bound(changes, start, F.min("start_date"))
+    hi = _bound(changes, end, F.max(F.current_date()))
+    events = (changes.filter(F.col("start_date").between(lo, hi))
               .select(F.col("start_date").alias("date"), "symbol",
                       F.col("industry_code").alias("_code"), F.lit(0).alias("_spine")))
-    spine = (changes.select("symbol").distinct().crossJoin(F.broadcast(bounds))
-             .filter(F.col("lo") <= F.col("hi"))
-             .select(F.explode(F.sequence("lo", "hi")).alias("date"), "symbol",
+    spine = (changes.select("symbol").distinct().filter(lo <= hi)
+             .select(F.explode(F.sequence(lo, hi)).alias("date"), "symbol",
                      F.lit(None).cast("string").alias("_code"), F.lit(1).alias("_spine")))
     # a change on day d is seen by the spine row of day d (events sort first)
     w = (Window.partitionBy("symbol").orderBy("date", "_spine")

@@ -106,7 +106,7 @@ def store(spark: SparkSession, sf_dir: str) -> Store:
     orders = scan_table(spark, sf_dir, "orders")
     cust = scan_table(spark, sf_dir, "customer")
     nation = scan_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    n_sup = supplier.agg(F.count(F.lit(1)).alias("n_sup"))  # one row
+    n_sup = supplier.select(F.count(F.lit(1))).scalar()  # scalar subquery, evaluated once
 
     artist = supplier.select(F.col("s_suppkey").alias("artistid"), F.col("s_name").alias("name"))
     album = (supplier.select("s_suppkey", "s_name", F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
@@ -117,10 +117,10 @@ def store(spark: SparkSession, sf_dir: str) -> Store:
                      F.col("s_suppkey").alias("artistid")))
     genre = part.select(_genre_id().alias("genreid"), F.col("p_type").alias("name")).distinct()
     price = F.col("p_retailprice").cast("decimal(12,2)")
-    track = part.crossJoin(F.broadcast(n_sup)).select(
+    track = part.select(
         F.col("p_partkey").alias("trackid"),
         F.col("p_name").alias("name"),
-        (F.col("p_partkey") % (2 * F.col("n_sup"))).alias("albumid"),
+        (F.col("p_partkey") % (2 * n_sup)).alias("albumid"),
         (F.col("p_size") % 5).alias("mediatypeid"),
         _genre_id().alias("genreid"),
         F.when(F.col("p_size") % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("composer"),
@@ -147,10 +147,10 @@ def store(spark: SparkSession, sf_dir: str) -> Store:
         F.col("l_extendedprice").cast("decimal(12,2)").alias("unitprice"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
     )
-    customer = cn.crossJoin(F.broadcast(n_sup)).select(
+    customer = cn.select(
         F.col("c_custkey").alias("customerid"),
         F.col("n_name").alias("country"),
-        (F.col("c_custkey") % F.col("n_sup")).alias("supportrepid"),
+        (F.col("c_custkey") % n_sup).alias("supportrepid"),
     )
     employee = supplier.select(
         F.col("s_suppkey").alias("employeeid"),
