@@ -25,7 +25,8 @@ class Contract:
 
 def enforce_contract(df: DataFrame, contract: Contract) -> DataFrame:
     """Cast every contract column with ``try_cast`` and collect violations per row in
-    ``_reasons`` (array of text, empty when the row is acceptable):
+    ``_reasons`` (';'-separated text, '' when the row is acceptable; ``concat_ws``
+    skips the NULL checks and stays inside generated code):
 
     * ``invalid:<col>`` value present but not representable (bad text, decimal
       overflow, NaN / infinity into a decimal)
@@ -46,17 +47,22 @@ def enforce_contract(df: DataFrame, contract: Contract) -> DataFrame:
             checks.append(F.when(src.isNull(), F.lit(f"null:{f.name}")))
         if f.name in contract.lengths:
             checks.append(F.when(F.length(src) > contract.lengths[f.name], F.lit(f"length:{f.name}")))
-    reasons = F.filter(F.array(*checks), lambda x: x.isNotNull())
+    reasons = F.concat_ws(";", *checks)
     return df.withColumn(REASONS, reasons).withColumns(typed)
 
 
 def is_clean() -> F.Column:
-    return F.size(F.col(REASONS)) == 0
+    return F.col(REASONS) == F.lit("")
+
+
+def add_reasons(*extra: F.Column) -> F.Column:
+    """The row's reasons with further optional (NULL = absent) reason texts appended."""
+    return F.concat_ws(";", F.nullif(F.col(REASONS), F.lit("")), *extra)
 
 
 def split_contract(df: DataFrame, contract: Contract):
     """(good, rejects): typed rows that pass, and rows with a ``reason`` text."""
     checked = enforce_contract(df, contract)
     good = checked.filter(is_clean()).drop(REASONS)
-    rejects = checked.filter(~is_clean()).withColumn("reason", F.array_join(REASONS, ";")).drop(REASONS)
+    rejects = checked.filter(~is_clean()).withColumnRenamed(REASONS, "reason")
     return good, rejects

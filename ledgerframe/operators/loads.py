@@ -19,13 +19,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ledgerframe.operators.contract import REASONS, Contract, enforce_contract
+from ledgerframe.operators.contract import REASONS, Contract, add_reasons, enforce_contract, is_clean
 from ledgerframe.operators.joins import bounded_broadcast
 from ledgerframe.operators.ordered import global_row_index
 
 IN_TARGET = "_in_target"
 
 
+def _units_side(df: DataFrame, max_units: int | None) -> DataFrame:
+    """Per-unit verdicts (one row per unit) as the build side of the join back to the
+    rows. With a known bound on the number of units (``max_units``) it is broadcast
+    outright; otherwise its size is checked first (``bounded_broadcast``). Broadcasting
+    keeps a hot unit's rows where they are instead of shuffling them to one task."""
+    return F.broadcast(df) if max_units is not None else bounded_broadcast(df)
+
+
 def _mark_existing(df: DataFrame, target: DataFrame | None, pk: list[str]) -> DataFrame:
     """Flag rows whose primary key is already in the target. Only the key columns of
     the target are read (column pruning); a target bucketed / partitioned on the key
@@ -41,7 +49,7 @@ def _dup_in_load(pk: list[str]) -> Column:
 
 
 def _bad(extra_flag: str | None) -> Column:
-    b = (F.size(F.col(REASONS)) > 0) | F.col(IN_TARGET)
+    b = ~is_clean() | F.col(IN_TARGET)
     return b | F.coalesce(F.col(extra_flag), F.lit(False)) if extra_flag else b
 
 
@@ -51,8 +59,7 @@ def _with_key_reasons(df: DataFrame, dup: Column, extra_flag: str | None) -> Dat
     extra = [F.when(dup, F.lit("duplicate_key")), F.when(F.col(IN_TARGET), F.lit("key_in_target"))]
     if extra_flag:
         extra.append(F.when(F.coalesce(F.col(extra_flag), F.lit(False)), F.lit("unparsed_date")))
-    why = F.concat(F.col(REASONS), F.filter(F.array(*extra), lambda x: x.isNotNull()))
-    return df.withColumn(REASONS, why).withColumn("_bad", F.size(F.col(REASONS)) > 0)
+    return df.withColumn(REASONS, add_reasons(*extra)).withColumn("_bad", ~is_clean())
 
 
 def full_refresh_rows(df: DataFrame, contract: Contract, bad_flag: str | None = None) -> DataFrame:
@@ -71,7 +78,7 @@ def full_refresh(df: DataFrame, path: str) -> None:
 
 
 def append_atomic(new: DataFrame, target: DataFrame | None, contract: Contract, unit: str,
-                  bad_flag: str | None = None):
+                  bad_flag: str | None = None, max_units: int | None = None):
     """Insert-only load committed per ``unit``; a unit with any bad row (contract
     violation, strict-date failure, key already in target, key repeated within the
     load) is rolled back whole. Returns (accepted rows, failed units with reasons)."""
@@ -79,13 +86,15 @@ def append_atomic(new: DataFrame, target: DataFrame | None, contract: Contract,
     checked = _with_key_reasons(checked, _dup_in_load(contract.pk), bad_flag)
     failed = (checked.filter("_bad").groupBy(unit)
               .agg(F.count(F.lit(1)).alias("bad_rows"),
-                   F.array_sort(F.array_distinct(F.flatten(F.collect_set(REASONS)))).alias("reasons")))
-    accepted = checked.join(bounded_broadcast(failed.select(unit)), unit, "left_anti")
+                   F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.split(REASONS, ";")))))
+                   .alias("reasons")))
+    accepted = checked.join(_units_side(failed.select(unit), max_units), unit, "left_anti")
     return accepted.select(*contract.columns), failed
 
 
 def append_prefix(new: DataFrame, target: DataFrame | None, contract: Contract, unit: str,
-                  order: str, batch_size: int = 1000, block: Column | None = None):
+                  order: str, batch_size: int = 1000, block: Column | None = None,
+                  max_units: int | None = None):
     """Rows of each unit in ``order``, cut into batches of ``batch_size``; every
     batch commits on its own; the first bad batch is rolled back and ends the unit,
     earlier batches stay. Row numbers come from per-(unit, block) counts plus offsets
@@ -99,7 +108,7 @@ def append_prefix(new: DataFrame, target: DataFrame | None, contract: Contract,
     numbered = global_row_index(checked, order, "_rn", block=blk, partition=[unit])
     numbered = numbered.withColumn("_batch", F.floor((F.col("_rn") - 1) / F.lit(batch_size)))
     first_bad = numbered.filter("_bad").groupBy(unit).agg(F.min("_batch").alias("_first_bad"))
-    j = numbered.join(bounded_broadcast(first_bad), unit, "left")
+    j = numbered.join(_units_side(first_bad, max_units), unit, "left")
     keep = F.col("_first_bad").isNull() | (F.col("_batch") < F.col("_first_bad"))
     accepted = j.filter(keep).select(*contract.columns)
     failed = (j.filter(~keep).groupBy(unit)
@@ -114,9 +123,8 @@ def upsert(target: DataFrame | None, src: DataFrame, contract: Contract, seq: st
     ``seq`` (partial aggregation, no sort of a whole key group).
     Returns (new target, rejected rows with reason)."""
     checked = enforce_contract(src, contract)
-    valid = checked.filter(F.size(REASONS) == 0)
-    rejects = (checked.filter(F.size(REASONS) > 0)
-               .withColumn("reason", F.array_join(REASONS, ";")).drop(REASONS))
+    valid = checked.filter(is_clean())
+    rejects = checked.filter(~is_clean()).withColumnRenamed(REASONS, "reason")
     pk = contract.pk
     rest = [c for c in contract.columns if c not in pk]
     order = F.struct(*seq) if isinstance(seq, list) else F.col(seq)

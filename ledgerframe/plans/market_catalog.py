@@ -20,35 +20,40 @@ TRADES_TO_DATE = "1996-01-27"
 
 
 class Book:
-    """Lazily built input and derived tables for one data directory. The per
-    ticker-day trade summary is checkpointed once (reliable checkpoint in the shared
-    folder): every table below it is small, and a lost executor does not re-run the
-    blotter scan."""
+    """Input and derived tables for one data directory.
+
+    The per ticker-day trade summary and the calendar are checkpointed once (reliable
+    checkpoint in the shared ``spark.checkpoint.dir``); positions, P&L and NAV are
+    checkpointed when first used, as the reference materialises them as tables (A21).
+    All of these are days x tickers or smaller, so each cut costs one small write,
+    keeps the blotter scan to one pass per query, and means a lost executor never
+    re-runs the chain above the cut."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.trades = bridge.trades(spark, sf_dir)
         self.summary = cut_lineage(daily_trade_summary(self.trades))
         self.closeprices = bridge.closeprices_from_summary(self.summary)
-        self.calendar = bridge.calendar(spark, sf_dir)
+        self.calendar = cut_lineage(bridge.calendar(spark, sf_dir))
         self._positions = self._pl = self._nav = None
 
     @property
     def positions(self) -> DataFrame:
         if self._positions is None:
-            self._positions = P.net_positions(self.trades, self.calendar, self.summary)
+            self._positions = cut_lineage(P.net_positions(self.trades, self.calendar, self.summary))
         return self._positions
 
     @property
     def pl(self) -> DataFrame:
         if self._pl is None:
-            self._pl = P.daily_pl(self.positions, self.trades, self.calendar, self.closeprices, self.summary)
+            self._pl = cut_lineage(P.daily_pl(self.positions, self.trades, self.calendar,
+                                              self.closeprices, self.summary))
         return self._pl
 
     @property
     def nav(self) -> DataFrame:
         if self._nav is None:
-            self._nav = P.nav(self.pl)
+            self._nav = cut_lineage(P.nav(self.pl))
         return self._nav
 
     @property
