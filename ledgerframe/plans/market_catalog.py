@@ -83,6 +83,8 @@ QUERIES = {
     "trade_activity": _q(lambda b: P.trade_activity(b.calendar, b.trades, b.summary)),
     "trades_to_date": _q(lambda b: P.trades_to_date(b.calendar, b.trades, TRADES_TO_DATE)),
     "net_positions": _q(lambda b: b.positions),
+    "net_positions_with_last_trade": _q(lambda b: P.net_positions(b.trades, b.calendar, b.summary,
+                                                                  with_last_tradedate=True)),
     "position_pnl": _q(lambda b: P.position_pnl(b.positions, b.calendar, b.closeprices)),
     "trading_pnl": _q(lambda b: P.trading_pnl(b.trades, b.closeprices, b.summary)),
     "trading_pnl_by_day": _q(lambda b: P.trading_pnl_by_day(b.trades, b.closeprices, b.summary)),

@@ -36,6 +36,9 @@ QUERIES = {
     "top_artists": _q(lambda s: M.top_rows(s.artist, 10, [F.col("artistid")])),
     "top_artists_by_id_desc": _q(lambda s: M.top_rows(s.artist, 10, [F.col("artistid").desc()])),
     "top_artist_names_desc": _q(lambda s: M.top_rows(s.artist, 10, [F.col("name").desc()], ["name"])),
+    "first_artist_names": _q(lambda s: M.top_rows(s.artist, 10, [F.col("artistid")]).select("name")),
+    "all_invoices": _q(lambda s: s.invoice),
+    "all_tracks": _q(lambda s: s.track),
     "first_invoices": _q(lambda s: M.top_rows(s.invoice, 10, [F.col("invoiceid")])),
     "track_with_most_bytes": _q(lambda s: M.top_rows(s.track, 1, [F.col("bytes").desc(), F.col("trackid")])
                                 .select("name")),

@@ -64,6 +64,9 @@ MUSIC_SQL = {
     "top_artists": m("select artistid, name from artist order by artistid limit 10"),
     "top_artists_by_id_desc": m("select artistid, name from artist order by artistid desc limit 10"),
     "top_artist_names_desc": m("select name from artist order by name desc limit 10"),
+    "first_artist_names": m("select name from (select artistid, name from artist order by artistid limit 10) x"),
+    "all_invoices": m(f"select {_INV} from invoice"),
+    "all_tracks": m(f"select {_TRACK_COLS} from track t"),
     "first_invoices": m(f"select {_INV} from invoice order by invoiceid limit 10"),
     "track_with_most_bytes": m("select name from track order by bytes desc, trackid limit 1"),
     "track_names_desc": m("select t.name from track t order by t.name desc"),
