@@ -31,12 +31,26 @@ class Book:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.trades = bridge.trades(spark, sf_dir)
-        self.summary = cut_lineage(daily_trade_summary(self.trades))
-        self.closeprices = bridge.closeprices_from_summary(self.summary)
-        self.calendar = cut_lineage(bridge.calendar(spark, sf_dir))
+        self.trades = bridge.trades(spark, sf_dir)       # lazy plan, no job
+        self._summary = self._calendar = None
         self._positions = self._pl = self._nav = None
 
+    @property
+    def summary(self) -> DataFrame:
+        if self._summary is None:
+            self._summary = cut_lineage(daily_trade_summary(self.trades))
+        return self._summary
+
+    @property
+    def closeprices(self) -> DataFrame:
+        return bridge.closeprices_from_summary(self.summary)
+
+    @property
+    def calendar(self) -> DataFrame:
+        if self._calendar is None:
+            self._calendar = cut_lineage(bridge.calendar(self.spark, self.sf_dir))
+        return self._calendar
+
     @property
     def positions(self) -> DataFrame:
         if self._positions is None:
