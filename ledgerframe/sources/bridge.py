@@ -9,6 +9,7 @@ DataFrame plan, so the work grows with the driver tables.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -99,66 +100,115 @@ class Store:
     employee: DataFrame
 
 
-def store(spark: SparkSession, sf_dir: str) -> Store:
-    supplier = scan_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    part = scan_table(spark, sf_dir, "part")
-    lineitem = scan_table(spark, sf_dir, "lineitem")
-    orders = scan_table(spark, sf_dir, "orders")
-    cust = scan_table(spark, sf_dir, "customer")
-    nation = scan_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    n_sup = supplier.select(F.count(F.lit(1))).scalar()  # scalar subquery, evaluated once
-
-    artist = supplier.select(F.col("s_suppkey").alias("artistid"), F.col("s_name").alias("name"))
-    album = (supplier.select("s_suppkey", "s_name", F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
-             .select((F.col("s_suppkey") * 2 + F.col("k")).alias("albumid"),
-                     F.when((F.col("k") == 0) & (F.col("s_suppkey") % 5 == 0), F.col("s_name"))
-                     .otherwise(F.concat(F.lit("Album#"), (F.col("s_suppkey") * 2 + F.col("k")).cast("string")))
-                     .alias("title"),
-                     F.col("s_suppkey").alias("artistid")))
-    genre = part.select(_genre_id().alias("genreid"), F.col("p_type").alias("name")).distinct()
-    price = F.col("p_retailprice").cast("decimal(12,2)")
-    track = part.select(
-        F.col("p_partkey").alias("trackid"),
-        F.col("p_name").alias("name"),
-        (F.col("p_partkey") % (2 * n_sup)).alias("albumid"),
-        (F.col("p_size") % 5).alias("mediatypeid"),
-        _genre_id().alias("genreid"),
-        F.when(F.col("p_size") % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("composer"),
-        (F.col("p_size") * 10000).cast("bigint").alias("milliseconds"),
-        F.when(F.col("p_size") % 10 == 0, F.lit(0).cast("bigint"))
-        .otherwise((price * 100).cast("bigint")).alias("bytes"),
-        price.alias("unitprice"),
-    )
-    playlist = lineitem.select(F.col("l_suppkey").alias("playlistid")).distinct()
-    playlisttrack = lineitem.select(F.col("l_suppkey").alias("playlistid"),
-                                    F.col("l_partkey").alias("trackid")).distinct()
-    cn = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
-    invoice = orders.join(cn, orders.o_custkey == cn.c_custkey).select(
-        F.col("o_orderkey").alias("invoiceid"),
-        F.col("o_custkey").alias("customerid"),
-        F.col("o_orderdate").cast("date").alias("invoicedate"),
-        F.col("c_mktsegment").alias("billingcity"),
-        F.col("n_name").alias("billingcountry"),
-        F.col("o_totalprice").cast("decimal(14,2)").alias("total"),
-    )
-    invoiceline = lineitem.select(
-        F.col("l_orderkey").alias("invoiceid"),
-        F.col("l_partkey").alias("trackid"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("unitprice"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-    )
-    customer = cn.select(
-        F.col("c_custkey").alias("customerid"),
-        F.col("n_name").alias("country"),
-        (F.col("c_custkey") % n_sup).alias("supportrepid"),
-    )
-    employee = supplier.select(
-        F.col("s_suppkey").alias("employeeid"),
-        F.col("s_name").alias("lastname"),
-        F.concat(F.lit("Rep"), (F.col("s_suppkey") % 7).cast("string")).alias("firstname"),
-    )
-    return Store(artist, album, genre, track, playlist, playlisttrack, invoice, invoiceline,
-                 customer, employee)
+class LazyStore:
+    """The music-store tables of one data directory, each built on first use (a query
+    touching three tables reads and analyses only those)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def _t(self, name: str) -> DataFrame:
+        return scan_table(self.spark, self.sf_dir, name)
+
+    @cached_property
+    def _n_sup(self):
+        return self._t("supplier").select(F.count(F.lit(1))).scalar()  # scalar subquery
+
+    @cached_property
+    def _supplier(self) -> DataFrame:
+        return self._t("supplier").select("s_suppkey", "s_name")
+
+    @cached_property
+    def _cust_nation(self) -> DataFrame:
+        cust = self._t("customer")
+        nation = self._t("nation").select("n_nationkey", "n_name")
+        return cust.join(nation, cust.c_nationkey == nation.n_nationkey)
+
+    @cached_property
+    def artist(self) -> DataFrame:
+        return self._supplier.select(F.col("s_suppkey").alias("artistid"), F.col("s_name").alias("name"))
+
+    @cached_property
+    def album(self) -> DataFrame:
+        k = F.col("k")
+        albumid = F.col("s_suppkey") * 2 + k
+        return (self._supplier.select("s_suppkey", "s_name", F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
+                .select(albumid.alias("albumid"),
+                        F.when((k == 0) & (F.col("s_suppkey") % 5 == 0), F.col("s_name"))
+                        .otherwise(F.concat(F.lit("Album#"), albumid.cast("string"))).alias("title"),
+                        F.col("s_suppkey").alias("artistid")))
+
+    @cached_property
+    def genre(self) -> DataFrame:
+        return self._t("part").select(_genre_id().alias("genreid"), F.col("p_type").alias("name")).distinct()
+
+    @cached_property
+    def track(self) -> DataFrame:
+        price = F.col("p_retailprice").cast("decimal(12,2)")
+        return self._t("part").select(
+            F.col("p_partkey").alias("trackid"),
+            F.col("p_name").alias("name"),
+            (F.col("p_partkey") % (2 * self._n_sup)).alias("albumid"),
+            (F.col("p_size") % 5).alias("mediatypeid"),
+            _genre_id().alias("genreid"),
+            F.when(F.col("p_size") % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("composer"),
+            (F.col("p_size") * 10000).cast("bigint").alias("milliseconds"),
+            F.when(F.col("p_size") % 10 == 0, F.lit(0).cast("bigint"))
+            .otherwise((price * 100).cast("bigint")).alias("bytes"),
+            price.alias("unitprice"),
+        )
+
+    @cached_property
+    def playlist(self) -> DataFrame:
+        return self._t("lineitem").select(F.col("l_suppkey").alias("playlistid")).distinct()
+
+    @cached_property
+    def playlisttrack(self) -> DataFrame:
+        return self._t("lineitem").select(F.col("l_suppkey").alias("playlistid"),
+                                          F.col("l_partkey").alias("trackid")).distinct()
+
+    @cached_property
+    def invoice(self) -> DataFrame:
+        orders = self._t("orders")
+        cn = self._cust_nation
+        return orders.join(cn, orders.o_custkey == cn.c_custkey).select(
+            F.col("o_orderkey").alias("invoiceid"),
+            F.col("o_custkey").alias("customerid"),
+            F.col("o_orderdate").cast("date").alias("invoicedate"),
+            F.col("c_mktsegment").alias("billingcity"),
+            F.col("n_name").alias("billingcountry"),
+            F.col("o_totalprice").cast("decimal(14,2)").alias("total"),
+        )
+
+    @cached_property
+    def invoiceline(self) -> DataFrame:
+        return self._t("lineitem").select(
+            F.col("l_orderkey").alias("invoiceid"),
+            F.col("l_partkey").alias("trackid"),
+            F.col("l_extendedprice").cast("decimal(12,2)").alias("unitprice"),
+            F.col("l_quantity").cast("bigint").alias("quantity"),
+        )
+
+    @cached_property
+    def customer(self) -> DataFrame:
+        return self._cust_nation.select(
+            F.col("c_custkey").alias("customerid"),
+            F.col("n_name").alias("country"),
+            (F.col("c_custkey") % self._n_sup).alias("supportrepid"),
+        )
+
+    @cached_property
+    def employee(self) -> DataFrame:
+        return self._supplier.select(
+            F.col("s_suppkey").alias("employeeid"),
+            F.col("s_name").alias("lastname"),
+            F.concat(F.lit("Rep"), (F.col("s_suppkey") % 7).cast("string")).alias("firstname"),
+        )
+
+
+def store(spark: SparkSession, sf_dir: str) -> LazyStore:
+    """Music-store tables (FIXTURES.md section 3), built on first use."""
+    return LazyStore(spark, sf_dir)
 
 
 # ------------------------------------------------------------------ sectors and feeds
