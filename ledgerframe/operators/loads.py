@@ -17,7 +17,7 @@ window partitioned by the unit alone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerframe.operators.contract import REASONS, Contract, add_reasons, enforce_contract, is_clean
 from ledgerframe.operators.joins import bounded_broadcast
@@ -44,8 +44,21 @@ def _mark_existing(df: DataFrame, target: DataFrame | None, pk: list[str]) -> Da
     return df.join(keys, pk, "left").withColumn(IN_TARGET, F.coalesce(F.col(IN_TARGET), F.lit(False)))
 
 
-def _dup_in_load(pk: list[str]) -> Column:
-    return F.count(F.lit(1)).over(Window.partitionBy(*pk)) > 1
+def _mark_repeats(df: DataFrame, pk: list[str], order: str | None = None) -> DataFrame:
+    """Add ``_dup``: the row's key occurs more than once in the load (``order`` None),
+    or the row is a later occurrence of its key in ``order``. Keys are counted with a
+    grouped aggregate (map-side partial counts) and joined back, not with a window: a
+    key repeated across a third of the load is then split by AQE's skew join instead
+    of being sorted in one task."""
+    if order is None:
+        keys = (df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+                .select(*pk, F.lit(True).alias("_rep")))
+        out = df.join(keys, pk, "left").withColumn("_dup", F.coalesce(F.col("_rep"), F.lit(False)))
+        return out.drop("_rep")
+    first = df.groupBy(*pk).agg(F.min(order).alias("_first"))
+    return (df.join(first, pk, "left")
+            .withColumn("_dup", F.coalesce(F.col(order) > F.col("_first"), F.lit(False)))
+            .drop("_first"))
 
 
 def _bad(extra_flag: str | None) -> Column:
@@ -66,8 +79,8 @@ def full_refresh_rows(df: DataFrame, contract: Contract, bad_flag: str | None =
     """A15 / A22 semantics: the load is all-or-nothing. Returns the typed rows when no
     row violates the contract, the strict-date flag or the primary key, otherwise an
     empty frame. The verdict is a global count evaluated once as a scalar subquery."""
-    checked = enforce_contract(df, contract).withColumn(IN_TARGET, F.lit(False))
-    checked = checked.withColumn("_bad", _bad(bad_flag) | _dup_in_load(contract.pk))
+    checked = _mark_repeats(enforce_contract(df, contract).withColumn(IN_TARGET, F.lit(False)), contract.pk)
+    checked = checked.withColumn("_bad", _bad(bad_flag) | F.col("_dup"))
     n_bad = checked.select(F.count_if(F.col("_bad"))).scalar()
     return checked.filter(n_bad == 0).select(*contract.columns)
 
@@ -82,8 +95,8 @@ def append_atomic(new: DataFrame, target: DataFrame | None, contract: Contract,
     """Insert-only load committed per ``unit``; a unit with any bad row (contract
     violation, strict-date failure, key already in target, key repeated within the
     load) is rolled back whole. Returns (accepted rows, failed units with reasons)."""
-    checked = _mark_existing(enforce_contract(new, contract), target, contract.pk)
-    checked = _with_key_reasons(checked, _dup_in_load(contract.pk), bad_flag)
+    checked = _mark_repeats(_mark_existing(enforce_contract(new, contract), target, contract.pk), contract.pk)
+    checked = _with_key_reasons(checked, F.col("_dup"), bad_flag)
     failed = (checked.filter("_bad").groupBy(unit)
               .agg(F.count(F.lit(1)).alias("bad_rows"),
                    F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.split(REASONS, ";")))))
@@ -101,9 +114,9 @@ def append_prefix(new: DataFrame, target: DataFrame | None, contract: Contract,
     (``global_row_index``), so a hot unit is numbered by many tasks.
     Returns (accepted rows, failed (unit, first_bad_batch, dropped_rows))."""
     checked = _mark_existing(enforce_contract(new, contract), target, contract.pk)
-    # a repeated key fails in the batch of its second occurrence
-    later_dup = F.row_number().over(Window.partitionBy(*contract.pk).orderBy(order)) > 1
-    checked = checked.withColumn("_bad", _bad(None) | later_dup)
+    # a repeated key fails in the batch of its second occurrence (``order`` is unique)
+    checked = _mark_repeats(checked, contract.pk, order)
+    checked = checked.withColumn("_bad", _bad(None) | F.col("_dup"))
     blk = block if block is not None else F.floor(F.col(order) / F.lit(1 << 20))
     numbered = global_row_index(checked, order, "_rn", block=blk, partition=[unit])
     numbered = numbered.withColumn("_batch", F.floor((F.col("_rn") - 1) / F.lit(batch_size)))

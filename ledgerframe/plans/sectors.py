@@ -39,13 +39,17 @@ def sector_code_panel(changes: DataFrame, start=None, end=None) -> DataFrame:
     ``start`` defaults to the first change date; ``end`` defaults to today (as the
     reference) and may be passed as a date, text or Column. Changes outside the range
     are ignored, so a later start forgets earlier codes (the reference re-indexes
-    before filling). (symbol, start_date) must be unique (check with A14 first).
+    before filling). (symbol, start_date) should be unique (check with A14 first);
+    repeated rows are folded to the greatest non-NULL code of that day.
     """
     lo = _bound(changes, start, F.min("start_date"))
     hi = _bound(changes, end, F.max(F.current_date()))
+    # one event per (symbol, day): repeats (which the reference rejects) are folded by a
+    # partial aggregate, so a symbol's window never holds more than two rows per day
     events = (changes.filter(F.col("start_date").between(lo, hi))
-              .select(F.col("start_date").alias("date"), "symbol",
-                      F.col("industry_code").alias("_code"), F.lit(0).alias("_spine")))
+              .groupBy(F.col("start_date").alias("date"), "symbol")
+              .agg(F.max("industry_code").alias("_code"))
+              .withColumn("_spine", F.lit(0)))
     spine = (changes.select("symbol").distinct().filter(lo <= hi)
              .select(F.explode(F.sequence(lo, hi)).alias("date"), "symbol",
                      F.lit(None).cast("string").alias("_code"), F.lit(1).alias("_spine")))

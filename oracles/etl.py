@@ -106,7 +106,7 @@ CTES = {
         (date is not null and try_cast(date as date) is null) bad_date,
         open, high, low, close, volume, amount, turnover, {TS} update_time
       from dfeed""",
-    "dk": f"""select *, {reasons(DAILY, ["case when count(*) over (partition by symbol, trade_date) > 1 then 'duplicate_key' end",
+    "dk": f"""select *, {reasons(DAILY, ["case when trade_date is not null and count(*) over (partition by symbol, trade_date) > 1 then 'duplicate_key' end",
                                           "case when bad_date then 'unparsed_date' end"])} reasons
       from dc where symbol is not null and (trade_date >= date '2010-01-01' or bad_date)""",
     "dbad": """select symbol, count(*) bad_rows from dk where reasons <> '' group by symbol""",
@@ -134,7 +134,7 @@ CTES = {
         round_even(try_cast(pcf as double), 4) pcf, round_even(try_cast(ps as double), 4) ps,
         {TS} update_time
       from cfeed""",
-    "ck": f"""select *, {reasons(CAP, ["case when count(*) over (partition by symbol, data_date) > 1 then 'duplicate_key' end",
+    "ck": f"""select *, {reasons(CAP, ["case when data_date is not null and count(*) over (partition by symbol, data_date) > 1 then 'duplicate_key' end",
                                         "case when bad_date then 'unparsed_date' end"])} reasons
       from cc where symbol is not null""",
     "cbad": "select symbol, count(*) bad_rows from ck where reasons <> '' group by symbol",
@@ -176,7 +176,7 @@ CTES = {
     "ixc": f"""select try_cast(trade_date as date) trade_date, market, index_value, pb, pb_weighted, pb_median,
         (trade_date is not null and try_cast(trade_date as date) is null) bad_date, {TS} update_time
       from ix""",
-    "ixk": f"""select *, {reasons(INDEX, ["case when count(*) over (partition by trade_date, market) > 1 then 'dup' end",
+    "ixk": f"""select *, {reasons(INDEX, ["case when trade_date is not null and count(*) over (partition by trade_date, market) > 1 then 'dup' end",
                                           "case when bad_date then 'bad' end"])} reasons from ixc""",
     # ---------------------------------------------------------------- sectors
     "sc": """select cast(o_custkey % 50 as varchar) symbol, cast(o_orderdate as date) start_date,
