@@ -71,11 +71,11 @@ class Market:
 
 
 def market(spark: SparkSession, sf_dir: str) -> Market:
+    """Lazy input tables; the registered queries (``plans.market_catalog.Book``) add
+    reliable checkpoints of the summary and calendar on top of the same plans."""
     t = trades(spark, sf_dir)
     s = daily_trade_summary(t)
-    # calendar bounds come from the (small) summary rather than a second lineitem scan
-    bounds = s.agg(F.min("tradedate").alias("lo"), F.max("tradedate").alias("hi"))
-    return Market(t, s, closeprices_from_summary(s), calendar_between(bounds))
+    return Market(t, s, closeprices_from_summary(s), calendar(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------- music store
