@@ -25,18 +25,27 @@ def signed_shares(action: str = "action", shares: str = "shares",
     return F.when(a == sell, -F.col(shares)).otherwise(F.col(shares))
 
 
-def daily_trade_summary(trades: DataFrame) -> DataFrame:
+def daily_trade_summary(trades: DataFrame, price_scale: int = 2) -> DataFrame:
     """(tradedate, ticker) -> n_trades, shares, max_price, net_shares, signed_notional.
 
     ``signed_notional`` = sum(tradeprice * signed shares), so for any price ``p`` the
     per-trade sum ``sum((p - tradeprice) * signed)`` equals ``p * net_shares -
-    signed_notional`` exactly (decimal arithmetic).
+    signed_notional`` exactly.
+
+    The per-trade product is summed in integer minor units (price x 10^scale, a
+    64-bit long; ANSI mode raises rather than wraps on overflow). A decimal product
+    of price and share count would exceed 18 digits and make Spark use an object
+    decimal for every trade. The sum becomes a decimal once per (day, ticker).
     """
     s = signed_shares()
-    return trades.groupBy("tradedate", "ticker").agg(
+    unit = 10 ** price_scale
+    minor = (F.col("tradeprice") * F.lit(unit)).cast("bigint")   # exact: price has `price_scale` places
+    g = trades.groupBy("tradedate", "ticker").agg(
         F.count("orderid").alias("n_trades"),
         F.sum("shares").alias("shares"),
         F.max("tradeprice").alias("max_price"),
         F.sum(s).alias("net_shares"),
-        F.sum(F.col("tradeprice") * s).alias("signed_notional"),
+        F.sum(minor * s).alias("_notional_minor"),
     )
+    notional = (F.col("_notional_minor").cast("decimal(38,0)") / F.lit(unit)).cast(f"decimal(38,{price_scale})")
+    return g.withColumn("signed_notional", notional).drop("_notional_minor")

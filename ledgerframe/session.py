@@ -17,6 +17,8 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
+    # remove reliable-checkpoint files once no DataFrame references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
