@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ledgerframe.operators.joins import bounded_broadcast
 from ledgerframe.operators.ordered import global_lags, running_max
 from ledgerframe.operators.tradeday import signed_shares
-from ledgerframe.plans.portfolio import daily_returns
 
 
 def _ddiv(a, b):
@@ -194,5 +193,3 @@ def worst_trade(trade_pnl: DataFrame) -> DataFrame:
     """Lowest trade P&L (NULL first, as the reference's engine sorts)."""
     return top1(trade_pnl, F.col("trade_pnl").asc_nulls_first(), *_K41_COLS)
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["daily_returns"]
