@@ -145,7 +145,8 @@ def upsert(target: DataFrame | None, src: DataFrame, contract: Contract, seq: st
     winners = win.select(*pk, *[F.col(f"_w.{c}").alias(c) for c in rest]).select(*contract.columns)
     if target is None:
         return winners, rejects
-    kept = target.select(*contract.columns).join(winners.select(*pk), pk, "left_anti")
+    typed_target = target.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.schema.fields])
+    kept = typed_target.join(winners.select(*pk), pk, "left_anti")
     return kept.unionByName(winners), rejects
 
 
