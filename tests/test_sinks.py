@@ -32,7 +32,8 @@ def test_full_refresh_and_materialise(spark):
 def test_merge_into_path_rewrites_touched_partitions_only(spark):
     base = tempfile.mkdtemp(prefix="ledgerframe-merge-")
     path, staging = os.path.join(base, "target"), os.path.join(base, "staging")
-    target = _frame(spark, [(0, "a", D(2024, 1, 1), 1.0), (0, "b", D(2024, 2, 1), 5.0)]).drop("seq")
+    target = (_frame(spark, [(0, "a", D(2024, 1, 1), 1.0), (0, "b", D(2024, 2, 1), 5.0)]).drop("seq")
+              .withColumn("px", F.col("px").cast("decimal(6,2)")))        # stored in contract types
     target.withColumn("ym", F.date_format("trade_date", "yyyy-MM")).write \
         .partitionBy("ym").parquet(path)
     current = spark.read.parquet(path)
