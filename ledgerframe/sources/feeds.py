@@ -126,5 +126,6 @@ def index_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
               .otherwise("STAR"))
     g = e.groupBy(market.alias("market"), F.col("ts").cast("date").cast("string").alias("c0")).agg(
         F.max("value").alias("c1"), F.min("value").alias("c2"),
-        (F.max("value") - F.min("value")).alias("c3"), F.median("value").alias("c4"))
+        (F.max("value") - F.min("value")).alias("c3"),
+        F.round(F.median("value"), 4).alias("c4"))          # quoted to 4 places
     return {m: g.filter(F.col("market") == m).drop("market") for m in ("SH", "SZ", "CYB", "STAR")}

@@ -171,7 +171,7 @@ CTES = {
     "ix": """select case event_type when 'click' then 'SH' when 'view' then 'SZ' when 'purchase' then 'CYB'
           else 'STAR' end market,
         cast(cast(ts as date) as varchar) trade_date, max(value) index_value, min(value) pb,
-        max(value) - min(value) pb_weighted, median(value) pb_median
+        max(value) - min(value) pb_weighted, round(median(value), 4) pb_median
       from events where event_type <> 'error' group by 1, 2""",
     "ixc": f"""select try_cast(trade_date as date) trade_date, market, index_value, pb, pb_weighted, pb_median,
         (trade_date is not null and try_cast(trade_date as date) is null) bad_date, {TS} update_time
