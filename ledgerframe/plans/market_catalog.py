@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from ledgerframe.functions.output import comparable
+from ledgerframe.operators.joins import MAX_BROADCAST_ROWS
 from ledgerframe.operators.tradeday import daily_trade_summary
 from ledgerframe.plans import portfolio as P
 from ledgerframe.plans import risk as R
@@ -35,10 +38,17 @@ class Book:
         self._summary = self._calendar = None
         self._positions = self._pl = self._nav = None
 
+    @staticmethod
+    def _small(df: DataFrame) -> DataFrame:
+        """Broadcast a checkpointed frame when its row count (a cheap job over the
+        checkpoint files) is within the broadcast bound; otherwise leave the join to
+        a shuffle (and AQE)."""
+        return F.broadcast(df) if df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else df
+
     @property
     def summary(self) -> DataFrame:
         if self._summary is None:
-            self._summary = cut_lineage(daily_trade_summary(self.trades))
+            self._summary = self._small(cut_lineage(daily_trade_summary(self.trades)))
         return self._summary
 
     @property
@@ -47,27 +57,28 @@ class Book:
 
     @property
     def calendar(self) -> DataFrame:
+        # one row per day: broadcast without a check
         if self._calendar is None:
-            self._calendar = cut_lineage(bridge.calendar(self.spark, self.sf_dir))
+            self._calendar = F.broadcast(cut_lineage(bridge.calendar(self.spark, self.sf_dir)))
         return self._calendar
 
     @property
     def positions(self) -> DataFrame:
         if self._positions is None:
-            self._positions = cut_lineage(P.net_positions(self.trades, self.calendar, self.summary))
+            self._positions = self._small(cut_lineage(P.net_positions(self.trades, self.calendar, self.summary)))
         return self._positions
 
     @property
     def pl(self) -> DataFrame:
         if self._pl is None:
-            self._pl = cut_lineage(P.daily_pl(self.positions, self.trades, self.calendar,
-                                              self.closeprices, self.summary))
+            self._pl = F.broadcast(cut_lineage(P.daily_pl(self.positions, self.trades, self.calendar,
+                                                          self.closeprices, self.summary)))
         return self._pl
 
     @property
     def nav(self) -> DataFrame:
         if self._nav is None:
-            self._nav = cut_lineage(P.nav(self.pl))
+            self._nav = F.broadcast(cut_lineage(P.nav(self.pl)))   # one row per day
         return self._nav
 
     @property
