@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerframe.functions import cleaning as C
 from ledgerframe.functions import schemas as S
+from ledgerframe.functions import vendor as V
 from ledgerframe.operators import loads as L
 
 LOAD_TS = _dt.datetime(2025, 1, 1)     # default load stamp (reproducible output)
 DAILY_START = "2010-01-01"              # history start of the daily-bar load
 VALUATION_BATCH = 1000                  # rows per committed batch in the valuation load
 
-INDEX_COLUMNS = ["trade_date", "index_value", "pb", "pb_weighted", "pb_median"]
+INDEX_COLUMNS = V.INDEX_COLUMNS
 VALUATION_NUMERIC = ["pe", "pe_ttm", "pb", "ps", "ps_ttm", "dv_ratio", "dv_ttm", "total_mv"]
 CAP_NUMERIC = ["close", "change_pct", "total_mv", "circulating_mv", "total_share", "float_share",
                "pe_ttm", "pe_static", "pb", "peg", "pcf", "ps"]
@@ -84,7 +85,7 @@ def ingest_valuation(feed: DataFrame, target: DataFrame | None = None, ts=LOAD_T
 def ingest_daily_bars(feed: DataFrame, target: DataFrame | None = None, ts=LOAD_TS,
                       start: str = DAILY_START):
     """Rows from ``start`` on, strict dates, all-or-nothing per symbol."""
-    rows = C.rename_columns(C.venue_symbols(feed, "code"), {"date": "trade_date"})
+    rows = C.rename_columns(C.venue_symbols(feed, "code"), V.DAILY_BAR_HEADERS)
     rows = C.strict_date(rows, ["trade_date"])
     rows = rows.filter((F.col("trade_date") >= F.lit(start).cast("date")) | F.col("_bad_date"))
     return L.append_atomic(C.stamp(rows, ts), target, S.STOCK_DAILY, unit="symbol", bad_flag="_bad_date",
@@ -96,7 +97,7 @@ def ingest_daily_bars(feed: DataFrame, target: DataFrame | None = None, ts=LOAD_
 def ingest_share_capital(feed: DataFrame, target: DataFrame | None = None, ts=LOAD_TS):
     """Lenient numbers rounded half-even to column scale (share counts to whole
     shares), strict dates, all-or-nothing per symbol."""
-    rows = C.venue_symbols(feed, "code")
+    rows = C.venue_symbols(C.rename_columns(feed, V.SHARE_CAPITAL_HEADERS), "code")
     rows = C.lenient_numeric(rows, CAP_NUMERIC)
     rows = C.nan_to_null(C.round_to_scale(rows, CAP_SCALES), CAP_NUMERIC)
     rows = C.strict_date(rows, ["data_date"])
@@ -111,7 +112,7 @@ def clean_dividends(feed: DataFrame, periods: list[str], ts=LOAD_TS) -> DataFram
     The periods are a short literal list (two per year), applied as a pushed-down
     ``IN`` filter rather than a join."""
     rows = feed.filter(F.col("report_date").isin(periods))
-    rows = C.rename_columns(rows, {"code": "symbol"})
+    rows = C.rename_columns(C.rename_columns(rows, V.DIVIDEND_HEADERS), {"code": "symbol"})
     rows = C.per_share(C.lenient_numeric(rows, DIVIDEND_RATIOS), DIVIDEND_RATIOS, 10)
     rows = C.nan_to_null(rows, DIVIDEND_RATIOS + DIVIDEND_NUMBERS)
     return C.stamp(C.lenient_date(rows, DIVIDEND_DATES), ts)

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerframe.functions.cleaning import rename_columns
+from ledgerframe.functions.vendor import SECTOR_MAPPING_HEADERS
 from ledgerframe.operators.joins import bounded_broadcast
 
 UNK = "UNK"   # fixed value: the reference's placeholder for "no classification"
@@ -62,7 +64,9 @@ def sector_code_panel(changes: DataFrame, start=None, end=None) -> DataFrame:
 
 
 def load_mapping(mapping: DataFrame) -> DataFrame:
-    """industry_code -> level1..level3 with missing names as 'UNK' (mapping file load)."""
+    """industry_code -> level1..level3 with missing names as 'UNK' (mapping file load;
+    the vendor's headers are renamed first)."""
+    mapping = rename_columns(mapping, SECTOR_MAPPING_HEADERS)
     return mapping.select("industry_code", *[F.coalesce(F.col(c), F.lit(UNK)).alias(c)
                                              for c in ("level1", "level2", "level3")])
 

@@ -111,3 +111,14 @@ def test_nan_to_null_and_per_share(spark):
     df = spark.createDataFrame([(float("nan"), 15.0)], "a double, b double")
     x = C.per_share(C.nan_to_null(df, ["a"]), ["b"]).first()
     assert x["a"] is None and x["b"] == 1.5
+
+
+def test_vendor_headers_are_renamed(spark):
+    from ledgerframe.functions import vendor as V
+    from ledgerframe.plans import etl as E
+    df = spark.createDataFrame([("20240630", 1, "600000", "2024-07-01", "12.5")],
+                               "report_date string, seq long, `代码` string, `除权除息日` string, `送转股份-送转总比例` string")
+    renamed = C.rename_columns(df, V.DIVIDEND_HEADERS)
+    assert renamed.columns == ["report_date", "seq", "symbol", "ex_dividend_date", "total_bonus_split"]
+    cleaned = E.C.per_share(E.C.lenient_numeric(renamed, ["total_bonus_split"]), ["total_bonus_split"], 10)
+    assert cleaned.first()["total_bonus_split"] == 1.25
