@@ -61,3 +61,31 @@ def test_row_index_per_partition(spark):
     got = {(r["k"], r["o"]): r["rn"] for r in out.collect()}
     assert got[("x", 0)] == 1 and got[("x", 2499)] == 2500 and got[("y", 2)] == 3
     assert sorted(v for (k, _), v in got.items() if k == "x") == list(range(1, 2501))
+
+
+def test_prefix_operators_property(spark):
+    """Random series with gaps and repeated dates across month blocks."""
+    hypothesis = __import__("pytest").importorskip("hypothesis")
+    st = hypothesis.strategies
+
+    @hypothesis.settings(max_examples=12, deadline=None, derandomize=True)
+    @hypothesis.given(st.lists(st.tuples(st.integers(0, 400), st.integers(-1000, 1000)), min_size=1, max_size=60))
+    def check(points):
+        base = dt.date(2021, 1, 1)
+        data = [(base + dt.timedelta(days=d), float(v)) for d, v in points]
+        df = spark.createDataFrame(data, "d date, v double")
+        wr = Window.orderBy("d").rangeBetween(Window.unboundedPreceding, 0)
+        want_sum = sorted((r["d"], r["s"]) for r in df.select("d", F.sum("v").over(wr).alias("s")).collect())
+        got_sum = sorted((r["d"], r["s"]) for r in running_sum(df, "d", "v", "s").collect())
+        assert got_sum == want_sum
+        # running max / lag need a total order: use distinct dates
+        u = df.dropDuplicates(["d"])
+        wo = Window.orderBy("d")
+        want = sorted((r["d"], r["m"], r["l"]) for r in u.select(
+            "d", F.max("v").over(wo.rowsBetween(Window.unboundedPreceding, 0)).alias("m"),
+            F.lag("v", 3).over(wo).alias("l")).collect())
+        got_m = {r["d"]: r["m"] for r in running_max(u, "d", "v", "m").collect()}
+        got_l = {r["d"]: r["l"] for r in global_lags(u, "d", "v", {"l": 3}).collect()}
+        assert sorted((d, got_m[d], got_l[d]) for d in got_m) == want
+
+    check()
