@@ -25,7 +25,8 @@ TRADES_TO_DATE = "1996-01-27"
 class Book:
     """Input and derived tables for one data directory.
 
-    The per ticker-day trade summary and the calendar are checkpointed once (reliable
+    The per ticker-day trade summary (one pass over the blotter, which also yields the
+    calendar's date bounds) and the calendar are checkpointed once (reliable
     checkpoint in the shared ``spark.checkpoint.dir``); positions, P&L and NAV are
     checkpointed when first used, as the reference materialises them as tables (A21).
     All of these are days x tickers or smaller, so each cut costs one small write,
@@ -46,20 +47,27 @@ class Book:
         return F.broadcast(df) if df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else df
 
     @property
-    def summary(self) -> DataFrame:
+    def _summary_all(self) -> DataFrame:
+        """Per (day, ticker) summary of every lineitem (NULL ticker: no part), one scan."""
         if self._summary is None:
-            self._summary = self._small(cut_lineage(daily_trade_summary(self.trades)))
+            every = bridge.trades(self.spark, self.sf_dir, keep_unmatched=True)
+            self._summary = self._small(cut_lineage(daily_trade_summary(every)))
         return self._summary
 
+    @property
+    def summary(self) -> DataFrame:
+        return self._summary_all.filter(F.col("ticker").isNotNull())
+
     @property
     def closeprices(self) -> DataFrame:
         return bridge.closeprices_from_summary(self.summary)
 
     @property
     def calendar(self) -> DataFrame:
-        # one row per day: broadcast without a check
+        # bounds from the checkpointed summary (no second lineitem scan); one row per
+        # day, so broadcast without a check
         if self._calendar is None:
-            self._calendar = F.broadcast(cut_lineage(bridge.calendar(self.spark, self.sf_dir)))
+            self._calendar = F.broadcast(cut_lineage(bridge.calendar_from_summary(self._summary_all)))
         return self._calendar
 
     @property

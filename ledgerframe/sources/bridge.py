@@ -19,13 +19,16 @@ from ledgerframe.sources.tables import scan_table
 
 # --------------------------------------------------------------------------- market
 
-def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orderid, tradedate, ticker, action, shares, tradeprice (one row per lineitem)."""
+def trades(spark: SparkSession, sf_dir: str, keep_unmatched: bool = False) -> DataFrame:
+    """orderid, tradedate, ticker, action, shares, tradeprice (one row per lineitem
+    with a part). ``keep_unmatched`` also keeps lineitems without a part, with a NULL
+    ticker, so one scan can serve both the trades and the calendar's date bounds."""
     li = scan_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_returnflag", "l_quantity", "l_extendedprice", "l_shipdate")
     part = scan_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     flag = F.col("l_returnflag")
-    return li.join(part, li.l_partkey == part.p_partkey).select(
+    how = "left" if keep_unmatched else "inner"
+    return li.join(part, li.l_partkey == part.p_partkey, how).select(
         F.col("l_orderkey").alias("orderid"),
         F.col("l_shipdate").cast("date").alias("tradedate"),
         F.col("p_type").alias("ticker"),
@@ -54,6 +57,13 @@ def calendar_between(lo: DataFrame) -> DataFrame:
     return days.select("closedate", F.date_sub("closedate", back).alias("previous_business_date"))
 
 
+def calendar_from_summary(summary_all: DataFrame) -> DataFrame:
+    """The calendar from a summary of *all* lineitems (``trades(keep_unmatched=True)``):
+    its trade-date bounds are exactly min/max of ``l_shipdate``, so no second scan."""
+    bounds = summary_all.agg(F.min("tradedate").alias("lo"), F.max("tradedate").alias("hi"))
+    return calendar_between(bounds)
+
+
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = scan_table(spark, sf_dir, "lineitem").select("l_shipdate")
     bounds = li.agg(F.min("l_shipdate").cast("date").alias("lo"),
