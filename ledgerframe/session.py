@@ -17,6 +17,10 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
+    # fall back from whole-stage codegen when a fused method would exceed HotSpot's JIT
+    # limit (8000 bytes of bytecode); such methods otherwise run interpreted. The wide
+    # contract checks of the load jobs produce them.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # remove reliable-checkpoint files once no DataFrame references them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
