@@ -34,12 +34,19 @@ def _units_side(df: DataFrame, max_units: int | None) -> DataFrame:
     return F.broadcast(df) if max_units is not None else bounded_broadcast(df)
 
 
-def _mark_existing(df: DataFrame, target: DataFrame | None, pk: list[str]) -> DataFrame:
+def _mark_existing(df: DataFrame, target: DataFrame | None, pk: list[str],
+                   range_key: str | None = None) -> DataFrame:
     """Flag rows whose primary key is already in the target. Only the key columns of
-    the target are read (column pruning); a target bucketed / partitioned on the key
-    avoids the shuffle entirely."""
+    the target are read (column pruning). With ``range_key`` (an ordered key column,
+    e.g. the trade date) the target is first restricted to the new rows' min..max of
+    that column; the bounds are scalar subqueries, so on a target partitioned by that
+    column the scan reads only the partitions a daily increment can collide with."""
     if target is None:
         return df.withColumn(IN_TARGET, F.lit(False))
+    if range_key is not None:
+        lo = df.select(F.min(range_key)).scalar()
+        hi = df.select(F.max(range_key)).scalar()
+        target = target.filter(F.col(range_key).between(lo, hi))
     keys = target.select(*pk).withColumn(IN_TARGET, F.lit(True))
     return df.join(keys, pk, "left").withColumn(IN_TARGET, F.coalesce(F.col(IN_TARGET), F.lit(False)))
 
@@ -91,11 +98,13 @@ def full_refresh(df: DataFrame, path: str) -> None:
 
 
 def append_atomic(new: DataFrame, target: DataFrame | None, contract: Contract, unit: str,
-                  bad_flag: str | None = None, max_units: int | None = None):
+                  bad_flag: str | None = None, max_units: int | None = None,
+                  range_key: str | None = None):
     """Insert-only load committed per ``unit``; a unit with any bad row (contract
     violation, strict-date failure, key already in target, key repeated within the
     load) is rolled back whole. Returns (accepted rows, failed units with reasons)."""
-    checked = _mark_repeats(_mark_existing(enforce_contract(new, contract), target, contract.pk), contract.pk)
+    checked = _mark_repeats(_mark_existing(enforce_contract(new, contract), target, contract.pk, range_key),
+                            contract.pk)
     checked = _with_key_reasons(checked, F.col("_dup"), bad_flag)
     failed = (checked.filter("_bad").groupBy(unit)
               .agg(F.count(F.lit(1)).alias("bad_rows"),
@@ -107,13 +116,13 @@ def append_atomic(new: DataFrame, target: DataFrame | None, contract: Contract,
 
 def append_prefix(new: DataFrame, target: DataFrame | None, contract: Contract, unit: str,
                   order: str, batch_size: int = 1000, block: Column | None = None,
-                  max_units: int | None = None):
+                  max_units: int | None = None, range_key: str | None = None):
     """Rows of each unit in ``order``, cut into batches of ``batch_size``; every
     batch commits on its own; the first bad batch is rolled back and ends the unit,
     earlier batches stay. Row numbers come from per-(unit, block) counts plus offsets
     (``global_row_index``), so a hot unit is numbered by many tasks.
     Returns (accepted rows, failed (unit, first_bad_batch, dropped_rows))."""
-    checked = _mark_existing(enforce_contract(new, contract), target, contract.pk)
+    checked = _mark_existing(enforce_contract(new, contract), target, contract.pk, range_key)
     # a repeated key fails in the batch of its second occurrence (``order`` is unique)
     checked = _mark_repeats(checked, contract.pk, order)
     checked = checked.withColumn("_bad", _bad(None) | F.col("_dup"))

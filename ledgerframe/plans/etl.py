@@ -77,7 +77,7 @@ def ingest_valuation(feed: DataFrame, target: DataFrame | None = None, ts=LOAD_T
     batch and everything after it is dropped for that symbol. -> (rows, failed)."""
     return L.append_prefix(clean_valuation(feed, ts), target, S.STOCK_VALUATION,
                            unit="symbol", order="seq", batch_size=batch_size,
-                           max_units=C.MAX_SYMBOLS)
+                           max_units=C.MAX_SYMBOLS, range_key="trade_date")
 
 
 # ------------------------------------------------------------------ A25 daily bars
@@ -89,7 +89,7 @@ def ingest_daily_bars(feed: DataFrame, target: DataFrame | None = None, ts=LOAD_
     rows = C.strict_date(rows, ["trade_date"])
     rows = rows.filter((F.col("trade_date") >= F.lit(start).cast("date")) | F.col("_bad_date"))
     return L.append_atomic(C.stamp(rows, ts), target, S.STOCK_DAILY, unit="symbol", bad_flag="_bad_date",
-                           max_units=C.MAX_SYMBOLS)
+                           max_units=C.MAX_SYMBOLS, range_key="trade_date")
 
 
 # ------------------------------------------------------------------ A24 share capital
@@ -102,7 +102,7 @@ def ingest_share_capital(feed: DataFrame, target: DataFrame | None = None, ts=LO
     rows = C.nan_to_null(C.round_to_scale(rows, CAP_SCALES), CAP_NUMERIC)
     rows = C.strict_date(rows, ["data_date"])
     return L.append_atomic(C.stamp(rows, ts), target, S.STOCK_SHARE_CAP, unit="symbol", bad_flag="_bad_date",
-                           max_units=C.MAX_SYMBOLS)
+                           max_units=C.MAX_SYMBOLS, range_key="data_date")
 
 
 # ------------------------------------------------------------------ A23 dividends

@@ -45,3 +45,19 @@ def test_merge_into_path_rewrites_touched_partitions_only(spark):
     L.merge_into_path(spark, path, merged.withColumn("ym", F.date_format("trade_date", "yyyy-MM")), "ym", staging)
     out = rows(spark.read.parquet(path).select("symbol", "trade_date", "px"))
     assert out == [("a", D(2024, 1, 1), 2.0), ("b", D(2024, 2, 1), 5.0), ("c", D(2024, 1, 5), 3.0)]
+
+
+def test_target_check_reads_only_the_new_date_range(spark):
+    """A date-partitioned target: the membership check prunes to the new rows' dates."""
+    base = tempfile.mkdtemp(prefix="ledgerframe-prune-")
+    path = os.path.join(base, "daily")
+    old = _frame(spark, [(0, "a", D(2023, 1, 2), 1.0), (0, "a", D(2024, 1, 2), 1.0)]).drop("seq") \
+        .withColumn("px", F.col("px").cast("decimal(6,2)"))
+    old.write.partitionBy("trade_date").parquet(path)
+    target = spark.read.parquet(path)
+    new = _frame(spark, [(1, "a", D(2024, 1, 2), 2.0), (2, "b", D(2024, 1, 3), 2.0)])
+    acc, failed = L.append_atomic(new, target, CONTRACT, unit="symbol", range_key="trade_date")
+    assert rows(acc.select("symbol")) == [("b",)]
+    assert rows(failed.select("symbol", "reasons")) == [("a", ["key_in_target"])]
+    plan = acc._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trade_date" in plan and "trade_date#" in plan and "Subquery subquery" in plan
