@@ -40,10 +40,14 @@ def get_session(master: str = "local[8]", app: str = "ledgerframe",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local tests)
-    fall back to a fresh scratch folder."""
-    sc = spark.sparkContext
+    fall back to a fresh scratch folder. Under Spark Connect there is no client-side
+    context: the server's ``spark.checkpoint.dir`` applies and nothing is set here."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect session
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
