@@ -61,3 +61,40 @@ def test_target_check_reads_only_the_new_date_range(spark):
     assert rows(failed.select("symbol", "reasons")) == [("a", ["key_in_target"])]
     plan = acc._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(trade_date" in plan and "trade_date#" in plan and "Subquery subquery" in plan
+
+
+def test_scan_files_csv_and_json_with_schema(spark):
+    from ledgerframe.sources.tables import scan_files
+    base = tempfile.mkdtemp(prefix="ledgerframe-scan-")
+    csv = os.path.join(base, "feed.csv")
+    with open(csv, "w") as fh:
+        fh.write("seq,code,trade_date,pe\n1,600000,2024-01-02,6.5\n2,830001,N/A,--\n")
+    df = scan_files(spark, csv, "csv", "seq long, code string, trade_date string, pe string")
+    assert rows(df) == [(1, "600000", "2024-01-02", "6.5"), (2, "830001", "N/A", "--")]
+    js = os.path.join(base, "feed.json")
+    with open(js, "w") as fh:
+        fh.write('{"code": "600000", "seq": 1}\n')
+    assert rows(scan_files(spark, js, "json", "seq long, code string")) == [(1, "600000")]
+
+
+def test_pivot_panel_wide_form(spark):
+    from ledgerframe.plans import sectors as Z
+    panel = spark.createDataFrame([(D(2024, 1, 1), "s1", "X"), (D(2024, 1, 1), "s2", "UNK"),
+                                   (D(2024, 1, 2), "s1", "Y"), (D(2024, 1, 2), "s2", "Z")],
+                                  "date date, symbol string, industry_code string")
+    wide = Z.pivot_panel(panel, "industry_code", ["s1", "s2"])
+    assert wide.columns == ["date", "s1", "s2"]
+    assert rows(wide) == [(D(2024, 1, 1), "X", "UNK"), (D(2024, 1, 2), "Y", "Z")]
+
+
+def test_market_bundle_readme_example(spark):
+    from ledgerframe.plans import portfolio as P, risk as R
+    from ledgerframe.sources import bridge
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    m = bridge.market(spark, sf)
+    pos = P.net_positions(m.trades, m.calendar, m.summary)
+    pl = P.daily_pl(pos, m.trades, m.calendar, m.closeprices, m.summary)
+    worst = R.worst_drawdown(P.nav(pl)).collect()
+    assert len(worst) == 1 and worst[0]["drawdown"] <= 0
