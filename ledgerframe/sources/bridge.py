@@ -170,7 +170,9 @@ class LazyStore:
 
     @cached_property
     def playlist(self) -> DataFrame:
-        return self._t("lineitem").select(F.col("l_suppkey").alias("playlistid")).distinct()
+        # the distinct l_suppkey of lineitem, taken from playlisttrack so that a query
+        # using both shares one lineitem scan and exchange
+        return self.playlisttrack.select("playlistid").distinct()
 
     @cached_property
     def playlisttrack(self) -> DataFrame:
