@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerframe.functions.output import comparable
-from ledgerframe.operators.joins import MAX_BROADCAST_ROWS
+from ledgerframe.operators.joins import bounded_broadcast
 from ledgerframe.operators.tradeday import daily_trade_summary
 from ledgerframe.plans import portfolio as P
 from ledgerframe.plans import risk as R
@@ -39,12 +39,8 @@ class Book:
         self._summary = self._calendar = None
         self._positions = self._pl = self._nav = None
 
-    @staticmethod
-    def _small(df: DataFrame) -> DataFrame:
-        """Broadcast a checkpointed frame when its row count (a cheap job over the
-        checkpoint files) is within the broadcast bound; otherwise leave the join to
-        a shuffle (and AQE)."""
-        return F.broadcast(df) if df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else df
+    # checkpointed frames are counted cheaply, so their broadcast is size-checked
+    _small = staticmethod(bounded_broadcast)
 
     @property
     def _summary_all(self) -> DataFrame:
