@@ -19,8 +19,12 @@ from ledgerframe.functions import vendor as V
 from ledgerframe.operators import loads as L
 
 LOAD_TS = _dt.datetime(2025, 1, 1)     # default load stamp (reproducible output)
-DAILY_START = "2010-01-01"              # history start of the daily-bar load
-VALUATION_BATCH = 1000                  # rows per committed batch in the valuation load
+
+# History start of the daily-bar load, rows per committed batch of the
+# valuation load, and the report years of the dividend load (two periods each).
+DAILY_START = "2010-01-01"
+VALUATION_BATCH = 1000
+REPORT_FIRST_YEAR, REPORT_LAST_YEAR = 2009, 2025
 
 INDEX_COLUMNS = V.INDEX_COLUMNS
 VALUATION_NUMERIC = ["pe", "pe_ttm", "pb", "ps", "ps_ttm", "dv_ratio", "dv_ttm", "total_mv"]
@@ -119,13 +123,14 @@ def clean_dividends(feed: DataFrame, periods: list[str], ts=LOAD_TS) -> DataFram
 
 
 def ingest_dividends(feed: DataFrame, target: DataFrame | None = None, ts=LOAD_TS,
-                     y0: int = 2009, y1: int = 2025):
+                     y0: int = REPORT_FIRST_YEAR, y1: int = REPORT_LAST_YEAR):
     """MERGE on (symbol, ex_dividend_date), periods in order, rows in feed order;
     bad rows skipped, the last good row per key wins. -> (table, rejected rows)."""
     rows = clean_dividends(feed, L.report_periods(y0, y1), ts)
     return L.upsert(target, rows, S.STOCK_DIVIDEND, seq=["report_date", "seq"])
 
 
-def missing_dividend_periods(feed: DataFrame, y0: int = 2009, y1: int = 2025) -> DataFrame:
+def missing_dividend_periods(feed: DataFrame, y0: int = REPORT_FIRST_YEAR,
+                             y1: int = REPORT_LAST_YEAR) -> DataFrame:
     """Requested report periods for which the feed has no rows (skipped loads)."""
     return L.missing_periods(feed, L.period_spine(feed.sparkSession, y0, y1))

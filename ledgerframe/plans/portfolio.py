@@ -20,6 +20,7 @@ from ledgerframe.operators.joins import bounded_broadcast
 from ledgerframe.operators.ordered import running_sum
 from ledgerframe.operators.tradeday import daily_trade_summary
 
+# Starting NAV of the portfolio.
 START_NAV = 100000
 
 

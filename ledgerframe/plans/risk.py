@@ -14,6 +14,11 @@ from ledgerframe.operators.ordered import global_lags, running_max
 from ledgerframe.operators.tradeday import signed_shares
 
 
+# Fixed values (defaults of the functions below): trailing average over 30 calendar
+# days with at least 18 observations; z-score over 90 rows; volatility over 30 rows;
+# rolling returns over 30 and 90 rows (lags of 29 and 89).
+
+
 def _ddiv(a, b):
     """a / b in double; NULL when b is 0 (the reference's engine returns NULL)."""
     return F.try_divide(a.cast("double"), b.cast("double"))
