@@ -7,6 +7,7 @@ import tempfile
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Words remembered per Python worker; the memo is emptied when it is full.
 MEMO_WORDS = 400_000
@@ -80,3 +81,25 @@ def shingles(word_hashes: np.ndarray, size: int) -> np.ndarray:
         out = (out + word_hashes[i:i + n]) * _MULT
         out ^= out >> np.uint64(29)
     return mix(out)
+
+
+class BitTable:
+    """Set of 64-bit hashes, held as bits of a table of fixed size.
+
+    Spark sums the bits up, so the driver gets ``2 ** (bits - 6)`` numbers at most,
+    however many hashes there are. A test may say yes to a hash that isn't in the set,
+    never no to one that is: it thins rows out before an exact join.
+    """
+
+    def __init__(self, hashes: DataFrame, column: str, bits: int) -> None:
+        slot = F.shiftrightunsigned(column, 64 - bits)
+        bit = F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - bits}) & 63 as int))"))
+        found = hashes.groupBy(F.shiftright(slot, 6).alias("at")).agg(bit.alias("bits")).toPandas()
+        words = np.zeros(1 << (bits - 6), np.int64)
+        words[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+        self.shift = np.uint64(64 - bits)
+        self.shared = hashes.sparkSession.sparkContext.broadcast(words.view(np.uint64))
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        slot = hashes >> self.shift
+        return (self.shared.value[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) != 0

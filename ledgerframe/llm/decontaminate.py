@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerframe.llm.common import WordHash, ascii_words, cut, hashed, shingles
+from ledgerframe.llm.common import BitTable, WordHash, ascii_words, cut, hashed, shingles
 
 SEED_WORDS = 4
 MIN_ITEM_WORDS = 8
@@ -54,38 +54,23 @@ def item_grams(items: DataFrame, id_col: str = "item_id", text_col: str = "text"
             .withColumn("part", F.xxhash64("item", "words")))
 
 
-def _table(items: DataFrame) -> np.ndarray:
-    """Bit table of all item n-grams, summed up by Spark; 2**TABLE_BITS bits at most."""
-    slot = F.shiftrightunsigned("gram", 64 - TABLE_BITS)
-    words = (items.select(F.explode("grams").alias("gram"))
-             .groupBy(F.shiftright(slot, 6).alias("at"))
-             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(gram, {64 - TABLE_BITS}) & 63 as int))"))
-                  .alias("bits")).toPandas())
-    table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
-    table[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return table.view(np.uint64)
-
-
-def _places(docs: DataFrame, id_col: str, text_col: str, table: np.ndarray, around: int) -> DataFrame:
+def _places(docs: DataFrame, id_col: str, text_col: str, table: BitTable, around: int) -> DataFrame:
     """Stretches of documents around n-grams that may be an item's.
 
     ``doc, base, words, grams, at``: hashed words from word ``base`` on, and the n-grams
     in question with their places in the document.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(table)
     schema = f"doc {id_type}, base int, words array<long>, grams array<long>, at array<int>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo, bits = WordHash(), shared.value
-        one, low = np.uint64(1), np.uint64(63)
+        memo = WordHash()
         for batch in batches:
             out = []
             for doc, text in zip(batch["i"], batch["t"]):
                 words = hashed(ascii_words(text), memo)
                 grams = shingles(words, SEED_WORDS)
-                slot = grams >> np.uint64(64 - TABLE_BITS)
-                hit = np.flatnonzero((bits[slot >> np.uint64(6)] >> (slot & low)) & one)
+                hit = np.flatnonzero(table.has(grams))
                 if not len(hit):
                     continue
                 for run_ in np.split(hit, np.flatnonzero(np.diff(hit) > around) + 1):
@@ -138,7 +123,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """
     grams = cut(item_grams(items, item_id_col, item_text_col))
     around = int((grams.agg(F.max(F.size("words"))).first()[0] or 0) * 1.25) + 1
-    places = cut(_places(docs, id_col, text_col, _table(grams), around))
+    table = BitTable(grams.select(F.explode("grams").alias("gram")), "gram", TABLE_BITS)
+    places = cut(_places(docs, id_col, text_col, table, around))
     places = places.withColumn("place", F.xxhash64("doc", "base", "words"))
     seen = places.select("doc", "place", F.explode(F.arrays_zip("grams", "at")).alias("x")) \
         .select("doc", "place", F.col("x.grams").alias("gram"), F.col("x.at").alias("at"))

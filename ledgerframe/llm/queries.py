@@ -5,10 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerframe.llm import decontaminate, line_spread, mixing, simhash, toxicity
+from ledgerframe.llm import (
+    ann_srs, decontaminate, license_rules, line_spread, mixing, pii_bootstrap, simhash, substring_windows,
+    token_counts, toxicity)
 from ledgerframe.llm.common import read_table
 
 
+QUERY_STEP = 20  # the contract's query set
+
+
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return ann_srs.neighbours(vectors, vectors.where(F.col("vec_id") % QUERY_STEP == 0))
+
+
+def op2_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_windows.shared_passages(read_table(spark, sf_dir, "documents"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.report(read_table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -32,12 +54,21 @@ def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_removed").alias("removed_lines"), F.col("_text").alias("clean_text"))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_bootstrap.digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_neighbours": op1_neighbours,
+    "op2_shared_passages": op2_shared_passages,
+    "op3_token_counts": op3_token_counts,
+    "op4_licenses": op4_licenses,
     "op5_mix_sources": op5_mix_sources,
     "op6_decontaminate": op6_decontaminate,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
     "op9_line_spread": op9_line_spread,
+    "op10_personal_data": op10_personal_data,
 }
 
 #: The distinct-site rule of operator 9, counted exactly.
