@@ -192,4 +192,4 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 def remove_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without those that hold a benchmark item."""
     gone = leaks(docs, items, id_col, text_col).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

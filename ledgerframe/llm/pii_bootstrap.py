@@ -204,7 +204,9 @@ def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         return F.array_join(F.transform(col, lambda s: F.concat_ws(
             ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-              for k, name in enumerate(KINDS)]
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select(F.col("id").alias(id_col), *counts, F.sha2(joined("base"), 256).alias("base_sha256"),
                         joined("spans").alias("spans"))

@@ -51,7 +51,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_spread.remove_boilerplate(read_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.col("_removed").alias("removed_lines"), F.col("_text").alias("clean_text"))
+    return out.select("row.doc_id", F.col("removed").alias("removed_lines"), F.col("text").alias("clean_text"))
 
 
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,8 +92,8 @@ def _forest(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> tuple[list
     step = max(1, _CELLS // max(1, len(b)))
     for at in range(0, len(a), step):
         near = np.bitwise_count(a[at:at + step, None] ^ b[None, :]) <= radius
-        if same:
-            near[np.arange(near.shape[0]), np.arange(at, at + near.shape[0])] = False
+        if same:  # each pair once
+            near &= np.arange(len(b)) > np.arange(at, at + len(near))[:, None]
         for i in np.flatnonzero(near.any(axis=1)):
             hit = np.flatnonzero(near[i])
             classes, where = np.unique(label[hit], return_index=True)
@@ -174,4 +174,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col, text_col,
                             words_per_shingle, max_bits)
     gone = found.where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

@@ -307,5 +307,4 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
 
 def keep_clean(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
     """The documents that are not predicted toxic, with their own columns."""
-    scored = docs.select("*", scorer(model)(F.col(text_col)).alias("_toxicity"))
-    return scored.where(F.col("_toxicity") < THRESHOLD).select(*[docs[c] for c in docs.columns])
+    return docs.where(scorer(model)(F.col(text_col)) < THRESHOLD)
