@@ -1,15 +1,16 @@
 """Toxicity by weak supervision (operator 7).
 
-1. Many voters look at a text: lexicons mined from the labelled training rows, dealt out
-   to ``LEXICON_VOTERS`` voters, a small general insult lexicon, and text patterns. A
-   text's votes are one bit each of a mask.
+1. Many voters look at a text: a lexicon mined from the labelled training rows, cut by
+   reliability into ``LEXICON_VOTERS`` voters, a small general insult lexicon, and text
+   patterns. A text's votes are one bit each of a mask.
 2. A generative label model is fitted on the counts of all documents' masks, with the
-   labelled training rows as anchors. It estimates each voter's accuracy, and which
+   labelled training rows as anchors of the same total weight. It estimates each voter's accuracy, and which
    voters are correlated given the label: a maximum spanning tree over the voters'
    conditional mutual information, with a table for each dependent pair.
 3. A linear classifier (logistic regression) is trained on the posterior labels of a
    bounded sample of labelled training rows, over mined terms and votes, and scores
-   every text.
+   every text. A row's given label counts there as one more voter, right in
+   ``LABEL_ACCURACY`` of all cases.
 
 Labels, language, source and id are never inputs of a score; ids only say which rows
 are held out. At most ``2 ** len(VOTERS)`` masks reach the driver.
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -41,8 +43,10 @@ from ledgerframe.llm.common import cut
 FIT_ROWS = 20_000
 LEXICON_TERMS = 256
 LEXICON_VOTERS = 8
-MIN_TOXIC_ROWS = 5
+MIN_TOXIC_ROWS = 3
 MIN_LIFT = 8.0
+EVIDENCE = 15.0
+LABEL_ACCURACY = 0.95
 PREFIXES = (4, 5)
 THRESHOLD = 0.5
 #: Mutual information (nats) above which two voters count as dependent.
@@ -65,8 +69,10 @@ PATTERNS = {
 VOTERS = tuple(f"lexicon_{k}" for k in range(LEXICON_VOTERS)) + ("insults", *PATTERNS, "several_terms")
 
 _WORD = re.compile(r"\w+")
-_PATTERN = {"attack": re.compile(PATTERNS["attack"], re.I), "threat": re.compile(PATTERNS["threat"], re.I),
-            "masked": re.compile(PATTERNS["masked"], re.I), "shouting": re.compile(PATTERNS["shouting"])}
+_PATTERN = {name: re.compile(p, 0 if name == "shouting" else re.I) for name, p in PATTERNS.items()}
+#: A text without any of these strings (lower case) can't match; looked up before the pattern.
+_HINTS = {"attack": ("you", "shut up", "go to hell"), "threat": ("i'll ", "i will "), "masked": "*#$@!"}
+_LOUD = re.compile("[A-Z]{4}|!!!")
 
 
 def held_out(id_: Column) -> Column:
@@ -76,31 +82,47 @@ def held_out(id_: Column) -> Column:
 def terms_of(text: str | None) -> set[str]:
     """Distinct words and their prefixes (stems of compounding or inflecting languages)."""
     words = set(_WORD.findall(text.lower())) if text else set()
-    for n in PREFIXES:
-        words |= {w[:n] + "*" for w in words if len(w) > n and w[-1] != "*"}
-    return words
+    return words.union(*({w[:n] + "*" for w in words if len(w) > n} for n in PREFIXES))
 
 
-def _hits(text: str | None, lexicon: dict[str, int]) -> list[int]:
-    return [lexicon[t] for t in terms_of(text) if t in lexicon]
+class Lexicon(dict):
+    """Term -> rank, with its prefixes at hand by length."""
 
+    def __init__(self, terms: list[str]) -> None:
+        super().__init__((t, k) for k, t in enumerate(terms))
+        # terms come in order of reliability; like ones share a voter
+        self.voter = [k * LEXICON_VOTERS // len(terms) for k in range(len(terms))]
+        self.words = {t for t in terms if t[-1] != "*"}
+        self.prefixes = {n: {t[:-1] for t in terms if t[-1] == "*" and len(t) == n + 1} for n in PREFIXES}
 
-def votes(text: str | None, hits: list[int]) -> int:
-    """The voters' bits, given the ranks of the text's lexicon terms."""
+    def hits(self, words: set[str]) -> list[int]:
+        """Ranks of the terms that a text with these words has."""
+        out = [self[w] for w in words & self.words]
+        for n, some in self.prefixes.items():
+            if some:
+                out += [self[p + "*"] for p in {w[:n] for w in words if len(w) > n} & some]
+        return out
+
+
+def look(text: str | None, lexicon: Lexicon) -> tuple[int, list[int]]:
+    """The voters' bits, and the ranks of the lexicon's terms in the text."""
+    if not text:
+        return 0, []
+    low = text.lower()
+    words = set(_WORD.findall(low))
+    hits = lexicon.hits(words)
     bits = 0
     for rank in hits:
-        bits |= 1 << rank % LEXICON_VOTERS
-    if text:
-        at = LEXICON_VOTERS
-        low = text.lower()
-        if any(w in low for w in INSULTS) and not INSULTS.isdisjoint(_WORD.findall(low)):
-            bits |= 1 << at
-        for k, name in enumerate(PATTERNS, start=at + 1):
-            if _PATTERN[name].search(text):
-                bits |= 1 << k
-        if len(hits) > 3:
-            bits |= 1 << len(VOTERS) - 1
-    return bits
+        bits |= 1 << lexicon.voter[rank]
+    if not INSULTS.isdisjoint(words):
+        bits |= 1 << LEXICON_VOTERS
+    for k, (name, pattern) in enumerate(_PATTERN.items(), start=LEXICON_VOTERS + 1):
+        likely = _LOUD.search(text) if name == "shouting" else any(h in low for h in _HINTS[name])
+        if likely and pattern.search(text):
+            bits |= 1 << k
+    if len(hits) > 3:
+        bits |= 1 << len(VOTERS) - 1
+    return bits, hits
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
@@ -119,7 +141,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
 
 def mine_lexicon(rows: DataFrame, size: int = LEXICON_TERMS) -> list[str]:
-    """Terms that toxic rows hold far more often than others, by log-likelihood ratio."""
+    """Terms that mark toxic rows, the most reliable first.
+
+    Candidates are terms that toxic rows hold ``MIN_LIFT`` times as often as others. Those
+    that chance cannot explain (``EVIDENCE``, a divergence in nats) are all taken. Rarer
+    ones are taken only as far as they cover toxic rows that no taken term covers, the
+    best first; so the many rare words that toxic rows share by chance stay out.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"y": batch["y"], "terms": [sorted(terms_of(t)) for t in batch["t"]]})
@@ -128,15 +156,39 @@ def mine_lexicon(rows: DataFrame, size: int = LEXICON_TERMS) -> list[str]:
     if len(n) < 2:
         return []
     pos, neg = n[1], n[0]
+    share = pos / (pos + neg)
     counts = (rows.mapInPandas(run, "y int, terms array<string>")
               .select("y", F.explode("terms").alias("term")).groupBy("term")
               .agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
               .where(F.col("a") >= MIN_TOXIC_ROWS))
     p, q = (F.col("a") + 0.5) / (pos + 1.0), (F.col("b") + 0.5) / (neg + 1.0)
-    score = F.col("a") * F.log(p / q)
-    best = (counts.where(p / q >= MIN_LIFT).select("term", score.alias("score"))
-            .orderBy(F.col("score").desc(), "term").limit(size))
-    return [r["term"] for r in best.collect()]
+    both = F.col("a") + F.col("b")
+    evidence = F.col("a") * F.log(F.col("a") / both / share) + F.when(
+        F.col("b") > 0, F.col("b") * F.log(F.col("b") / both / (1 - share))).otherwise(0.0)
+    best = (counts.where(p / q >= MIN_LIFT).select("term", "b", evidence.alias("evidence"), (p / q).alias("lift"))
+            .orderBy(F.col("evidence").desc(), "term").limit(4 * size)).collect()
+    taken = [r["term"] for r in best if r["evidence"] >= EVIDENCE][:size]
+    rest = [r for r in best if r["evidence"] < EVIDENCE]
+    lexicon = Lexicon([r["term"] for r in best])
+
+    def toxic_hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"hits": [look(t, lexicon)[1] for t in batch["t"]]})
+
+    # the toxic rows of the bounded sample, each as a few numbers
+    known = {lexicon[t] for t in taken}
+    bare = [set(r["hits"]) for r in rows.where("y = 1").mapInPandas(toxic_hits, "hits array<int>").collect()]
+    bare = [h for h in bare if h and not h & known]
+    while rest and len(taken) < size:
+        held = Counter(rank for h in bare for rank in h)
+        gain, term = max((held[lexicon[r["term"]]] / (1.0 + r["b"]), r["term"]) for r in rest)
+        if held[lexicon[term]] < MIN_TOXIC_ROWS:
+            rest = [r for r in rest if r["term"] != term]
+            continue
+        taken.append(term)
+        bare = [h for h in bare if lexicon[term] not in h]
+    lift = {r["term"]: r["lift"] for r in best}
+    return sorted(taken, key=lambda t: (-lift[t], t))
 
 
 @dataclass
@@ -201,6 +253,8 @@ def fit_label_model(masks: np.ndarray, known: np.ndarray, counts: np.ndarray, ro
     n = len(VOTERS)
     bits = (masks[:, None] >> np.arange(n)) & 1
     anchored = known >= 0
+    # without this, the classes could drift to whatever else splits the unlabelled rows
+    counts = np.where(anchored, counts * max(1.0, counts[~anchored].sum() / max(1.0, counts[anchored].sum())), counts)
     truth = np.where(anchored, known, 0).astype(float)
     share = (counts * anchored * truth).sum() / max(1.0, (counts * anchored).sum())
     model = LabelModel(prior=min(0.9, max(0.001, share)), parent=[-1] * n)
@@ -208,6 +262,8 @@ def fit_label_model(masks: np.ndarray, known: np.ndarray, counts: np.ndarray, ro
     def maximise(p: np.ndarray) -> np.ndarray:
         w = np.stack([counts * (1 - p), counts * p], axis=1)
         model.prior = float(np.clip(w[:, 1].sum() / max(1e-9, w.sum()), 1e-3, 0.9))
+        if anchored.any():  # how often clean texts draw a vote is known from clean rows alone:
+            w[~anchored, 0] = 0  # toxic texts with few votes would otherwise come to count as clean
         model.table = np.empty((2, 2, n))
         for v, up in enumerate(model.parent):
             for y in (0, 1):
@@ -231,14 +287,13 @@ def fit_label_model(masks: np.ndarray, known: np.ndarray, counts: np.ndarray, ro
 
 @dataclass
 class ToxicityModel:
-    lexicon: dict[str, int]  # term -> rank
+    lexicon: Lexicon
     weights: np.ndarray  # of the lexicon's terms, then of the voters
     intercept: float
     labels: LabelModel | None = None
 
     def score(self, text: str | None) -> float:
-        hits = _hits(text, self.lexicon)
-        bits = votes(text, hits)
+        bits, hits = look(text, self.lexicon)
         z = self.intercept + self.weights[hits].sum()
         z += sum(self.weights[len(self.lexicon) + v] for v in range(len(VOTERS)) if bits >> v & 1)
         return float(1 / (1 + math.exp(-max(-500.0, min(500.0, z)))))
@@ -249,7 +304,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Mines lexicons, fits the label model on all documents' votes, trains the classifier."""
     rows = training_rows(docs, labels, id_col, text_col, fit_rows)
     terms = mine_lexicon(rows)
-    lexicon = {t: k for k, t in enumerate(terms)}
+    lexicon = Lexicon(terms)
     general = np.zeros(len(terms) + len(VOTERS))
     general[len(terms) + LEXICON_VOTERS:len(terms) + len(VOTERS) - 1] = 3.0
     plain = ToxicityModel(lexicon, general, -3.0)
@@ -258,9 +313,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [_hits(t, lexicon) for t in batch["t"]]
-            yield pd.DataFrame({"y": batch["y"], "mask": [votes(t, h) for t, h in zip(batch["t"], found)],
-                                "hits": found})
+            seen = [look(t, lexicon) for t in batch["t"]]
+            yield pd.DataFrame({"y": batch["y"], "mask": [m for m, _ in seen], "hits": [h for _, h in seen]})
 
     schema = "y int, mask int, hits array<int>"
     fitted = cut(rows.mapInPandas(vote, schema))
@@ -271,20 +325,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     masks = np.unique(counts["mask"].to_numpy())
     bits = (masks[:, None] >> np.arange(len(VOTERS))) & 1
-    spark = docs.sparkSession
-    posterior = spark.createDataFrame(pd.DataFrame({"mask": masks, "p": model.posterior(bits)}))
+    joint = model.log_joint(bits)
+    odds = (joint[:, 1] - joint[:, 0])[None, :] + math.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY)) * np.array([[-1], [1]])
+    posterior = docs.sparkSession.createDataFrame(pd.DataFrame({
+        "y": np.repeat([0, 1], len(masks)).astype(np.int32), "mask": np.tile(masks, 2),
+        "p": 1 / (1 + np.exp(-np.clip(odds, -500, 500))).ravel()}))
     n = len(terms)
     lexical = F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
                           lambda k: F.array_contains("hits", k.cast("int")).cast("double"))
     voted = F.array(*[F.shiftright("mask", v).bitwiseAND(F.lit(1)).cast("double") for v in range(len(VOTERS))])
     # a posterior label is a row of each label, weighted
-    train = (fitted.join(F.broadcast(posterior), "mask")  # at most 2 ** voters rows
+    train = (fitted.join(F.broadcast(posterior), ["y", "mask"])  # at most 2 ** (voters + 1) rows
              .select(array_to_vector(F.concat(lexical, voted)).alias("features"), "p")
              .select("features", F.explode(F.array(
                  F.struct(F.lit(1.0).alias("label"), F.col("p").alias("weight")),
                  F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("weight")))).alias("x"))
              .select("features", "x.label", "x.weight").where("weight > 1e-6"))
-    fitted_model = LogisticRegression(weightCol="weight", regParam=1e-3, maxIter=40,
+    fitted_model = LogisticRegression(weightCol="weight", regParam=1e-4, maxIter=40,
                                       aggregationDepth=2).fit(train)
     return ToxicityModel(lexicon, fitted_model.coefficients.toArray(), float(fitted_model.intercept), model)
 
