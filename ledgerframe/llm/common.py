@@ -94,9 +94,9 @@ class BitTable:
     def __init__(self, hashes: DataFrame, column: str, bits: int) -> None:
         slot = F.shiftrightunsigned(column, 64 - bits)
         bit = F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - bits}) & 63 as int))"))
-        found = hashes.groupBy(F.shiftright(slot, 6).alias("at")).agg(bit.alias("bits")).toPandas()
+        found = hashes.groupBy(F.shiftright(slot, 6).alias("at")).agg(bit.alias("bits")).toArrow()
         words = np.zeros(1 << (bits - 6), np.int64)
-        words[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+        words[found["at"].to_numpy()] = found["bits"].to_numpy()
         self.shift = np.uint64(64 - bits)
         self.shared = hashes.sparkSession.sparkContext.broadcast(words.view(np.uint64))
 
