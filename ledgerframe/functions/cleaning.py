@@ -11,10 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 SSE_PREFIXES = ("600", "601", "603", "605", "688", "689")   # -> "sh" + code
 SZSE_PREFIXES = ("000", "001", "002", "003", "300", "301")  # -> "sz" + code
 
-# Listed symbols are a venue prefix plus three digits: at most 12 x 1000 of them. This
-# bounds every per-symbol frame (load verdicts), which may therefore be broadcast.
-MAX_SYMBOLS = (len(SSE_PREFIXES) + len(SZSE_PREFIXES)) * 1000
-
 
 def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """A4: vendor header -> schema name; unknown headers are left as they are."""

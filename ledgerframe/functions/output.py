@@ -7,16 +7,17 @@ from pyspark.sql.types import DecimalType
 
 
 def comparable(df: DataFrame, decimals: dict[str, int] | None = None) -> DataFrame:
-    """Decimal columns leave as DOUBLE (exact decimal -> nearest double, the same in any
-    engine); columns named in ``decimals`` are rounded to that many places, for values
-    whose last bits depend on summation order (averages, standard deviations)."""
+    """Money stays DECIMAL, at its own scale and one common width, as engines differ in
+    the width they give to sums. Columns named in ``decimals`` are ratios and averages,
+    whose last bits depend on summation order: they leave as DOUBLE, rounded to so many
+    places."""
     decimals = decimals or {}
     cols = []
     for f in df.schema.fields:
         c = F.col(f.name)
-        if isinstance(f.dataType, DecimalType):
-            c = (F.round(c, decimals[f.name]) if f.name in decimals else c).cast("double")
-        elif f.name in decimals:
-            c = F.round(c, decimals[f.name])
+        if f.name in decimals:
+            c = F.round(c, decimals[f.name]).cast("double")
+        elif isinstance(f.dataType, DecimalType):
+            c = c.cast(f"decimal(38,{f.dataType.scale})")
         cols.append(c.alias(f.name))
     return df.select(*cols)

@@ -14,6 +14,8 @@ def _s(*fields):
 
 D = DecimalType
 
+# Column names, types, NOT NULL, lengths and keys of the five target tables.
+
 MARKET_INDEX = Contract(_s(
     ("trade_date", DateType(), False), ("market", StringType(), False),
     ("index_value", D(10, 2), True), ("pb", D(10, 4), True), ("pb_weighted", D(10, 4), True),

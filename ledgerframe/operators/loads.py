@@ -11,8 +11,8 @@ failure scope becomes a flag computed with aggregates and joins:
   upsert          MERGE row by row: bad rows skipped, last row per key wins (A18)
 
 Per-unit decisions use ``groupBy`` (partial aggregation, so a unit holding a third of
-the rows is pre-reduced map-side) and a broadcast of the per-unit verdicts, never a
-window partitioned by the unit alone.
+the rows is pre-reduced map-side) and a join with the per-unit verdicts, never a window
+partitioned by the unit alone.
 """
 
 from __future__ import annotations
@@ -20,129 +20,154 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerframe.operators.contract import REASONS, Contract, add_reasons, enforce_contract, is_clean
-from ledgerframe.operators.joins import bounded_broadcast
 from ledgerframe.operators.ordered import global_row_index
 
 IN_TARGET = "_in_target"
 
 
-def _units_side(df: DataFrame, max_units: int | None) -> DataFrame:
-    """Per-unit verdicts (one row per unit) as the build side of the join back to the
-    rows. With a known bound on the number of units (``max_units``) it is broadcast
-    outright; otherwise its size is checked first (``bounded_broadcast``). Broadcasting
-    keeps a hot unit's rows where they are instead of shuffling them to one task."""
-    return F.broadcast(df) if max_units is not None else bounded_broadcast(df)
-
-
-def _mark_existing(df: DataFrame, target: DataFrame | None, pk: list[str],
-                   range_key: str | None = None) -> DataFrame:
-    """Flag rows whose primary key is already in the target. Only the key columns of
-    the target are read (column pruning). With ``range_key`` (an ordered key column,
-    e.g. the trade date) the target is first restricted to the new rows' min..max of
-    that column; the bounds are scalar subqueries, so on a target partitioned by that
-    column the scan reads only the partitions a daily increment can collide with."""
-    if target is None:
-        return df.withColumn(IN_TARGET, F.lit(False))
+def _target_keys(new: DataFrame, target: DataFrame, pk: list[str], range_key: str | None) -> DataFrame:
+    """The target's keys that new rows can collide with. Only key columns are read. With
+    ``range_key`` (an ordered key column, e.g. the trade date) the target is first
+    restricted to the new rows' min..max of it; the bounds are scalar subqueries, so on a
+    target partitioned by that column the scan reads only those partitions."""
     if range_key is not None:
-        lo = df.select(F.min(range_key)).scalar()
-        hi = df.select(F.max(range_key)).scalar()
+        lo, hi = new.select(F.min(range_key)).scalar(), new.select(F.max(range_key)).scalar()
         target = target.filter(F.col(range_key).between(lo, hi))
-    keys = target.select(*pk).withColumn(IN_TARGET, F.lit(True))
-    return df.join(keys, pk, "left").withColumn(IN_TARGET, F.coalesce(F.col(IN_TARGET), F.lit(False)))
-
-
-def _mark_repeats(df: DataFrame, pk: list[str], order: str | None = None) -> DataFrame:
-    """Add ``_dup``: the row's key occurs more than once in the load (``order`` None),
-    or the row is a later occurrence of its key in ``order``. Keys are counted with a
-    grouped aggregate (map-side partial counts) and joined back, not with a window: a
-    key repeated across a third of the load is then split by AQE's skew join instead
-    of being sorted in one task."""
-    if order is None:
-        keys = (df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-                .select(*pk, F.lit(True).alias("_rep")))
-        out = df.join(keys, pk, "left").withColumn("_dup", F.coalesce(F.col("_rep"), F.lit(False)))
-        return out.drop("_rep")
-    first = df.groupBy(*pk).agg(F.min(order).alias("_first"))
-    return (df.join(first, pk, "left")
-            .withColumn("_dup", F.coalesce(F.col(order) > F.col("_first"), F.lit(False)))
-            .drop("_first"))
-
-
-def _bad(extra_flag: str | None) -> Column:
-    b = ~is_clean() | F.col(IN_TARGET)
-    return b | F.coalesce(F.col(extra_flag), F.lit(False)) if extra_flag else b
-
-
-def _with_key_reasons(df: DataFrame, dup: Column, extra_flag: str | None) -> DataFrame:
-    """Append 'duplicate_key', 'key_in_target' and 'unparsed_date' to the row's
-    contract reasons; a row is bad when any reason is present."""
-    extra = [F.when(dup, F.lit("duplicate_key")), F.when(F.col(IN_TARGET), F.lit("key_in_target"))]
-    if extra_flag:
-        extra.append(F.when(F.coalesce(F.col(extra_flag), F.lit(False)), F.lit("unparsed_date")))
-    return df.withColumn(REASONS, add_reasons(*extra)).withColumn("_bad", ~is_clean())
-
-
-def full_refresh_rows(df: DataFrame, contract: Contract, bad_flag: str | None = None) -> DataFrame:
-    """A15 / A22 semantics: the load is all-or-nothing. Returns the typed rows when no
-    row violates the contract, the strict-date flag or the primary key, otherwise an
-    empty frame. The verdict is a global count evaluated once as a scalar subquery."""
-    checked = _mark_repeats(enforce_contract(df, contract).withColumn(IN_TARGET, F.lit(False)), contract.pk)
-    checked = checked.withColumn("_bad", _bad(bad_flag) | F.col("_dup"))
-    n_bad = checked.select(F.count_if(F.col("_bad"))).scalar()
-    return checked.filter(n_bad == 0).select(*contract.columns)
-
-
-def full_refresh(df: DataFrame, path: str) -> None:
-    """A15 sink: replace the table at ``path`` (write to a path nobody is reading)."""
-    df.write.mode("overwrite").parquet(path)
+    return target.select(*pk)
+
+
+def _flagged(df: DataFrame, contract: Contract, bad_flag: str | None) -> DataFrame:
+    """Typed rows with their contract reasons; a strict-date flag is one more reason."""
+    checked = enforce_contract(df, contract)
+    if bad_flag:
+        checked = checked.withColumn(REASONS, add_reasons(
+            F.when(F.coalesce(F.col(bad_flag), F.lit(False)), F.lit("unparsed_date"))))
+    return checked
+
+
+def _keys(checked: DataFrame, target: DataFrame | None, pk: list[str], unit: str,
+          range_key: str | None) -> DataFrame:
+    """One row per (primary key, unit): ``unit, bad_rows, why``.
+
+    A repeated key, or one that is in the target, makes all of its rows bad. Rows are
+    counted with a partial aggregate, so a key repeated across a third of the load is
+    reduced before the shuffle, and the target is joined to keys rather than to rows."""
+    by = list(dict.fromkeys([*pk, unit]))
+    keys = checked.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.count_if(~is_clean()).alias("_bad"),
+                                    F.collect_set(F.nullif(F.col(REASONS), F.lit(""))).alias("_why"))
+    total = F.col("_n")
+    if unit not in pk:  # the key may come back in another unit
+        keys = keys.join(keys.groupBy(*pk).agg(F.sum("_n").alias("_total")), pk, "left")
+        total = F.coalesce(F.col("_total"), F.col("_n"))
+    complete = F.lit(True)
+    for c in pk:
+        complete = complete & F.col(c).isNotNull()
+    again = complete & (total > 1)
+    if target is None:
+        keys = keys.withColumn(IN_TARGET, F.lit(False))
+    else:
+        there = _target_keys(checked, target, pk, range_key).withColumn(IN_TARGET, F.lit(True))
+        keys = keys.join(there, pk, "left").withColumn(IN_TARGET, F.coalesce(IN_TARGET, F.lit(False)))
+    reasons = F.concat(F.flatten(F.transform("_why", lambda w: F.split(w, ";"))),
+                       F.when(again, F.array(F.lit("duplicate_key"))).otherwise(F.array().cast("array<string>")),
+                       F.when(F.col(IN_TARGET), F.array(F.lit("key_in_target")))
+                       .otherwise(F.array().cast("array<string>")))
+    return keys.select(unit, F.when(again | F.col(IN_TARGET), F.col("_n")).otherwise(F.col("_bad")).alias("bad_rows"),
+                       reasons.alias("why"))
+
+
+def full_refresh_rows(df: DataFrame, contract: Contract, strict_flag: str | None = None) -> DataFrame:
+    """A15 / A22 semantics: the load is all-or-nothing. Returns the typed rows when no row
+    violates the contract or the primary key, otherwise an empty frame: the insert failed
+    after the table was emptied. A row that ``strict_flag`` marks (an unparsed date) raises
+    when the plan runs, as parsing comes before the table is touched; the old table stays
+    (``full_refresh`` stages the rows first)."""
+    if strict_flag is not None:
+        failure = F.raise_error(F.lit(f"strict parsing failed ({strict_flag}): the table is left as it is"))
+        df = df.filter(F.when(F.col(strict_flag), failure.cast("boolean")).otherwise(F.lit(True)))
+    bad = full_refresh_rejects(df, contract).select(F.count(F.lit(1))).scalar()
+    return enforce_contract(df, contract).filter(bad == 0).select(*contract.columns)
+
+
+def full_refresh_rejects(df: DataFrame, contract: Contract) -> DataFrame:
+    """The keys that make a full refresh fail: primary key, ``bad_rows``, ``reasons``."""
+    pk = contract.pk
+    keys = enforce_contract(df, contract).groupBy(*pk).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(~is_clean()).alias("_bad"),
+        F.collect_set(F.nullif(F.col(REASONS), F.lit(""))).alias("_why"))
+    repeated = F.col("_n") > 1
+    why = F.concat(F.col("_why"), F.when(repeated, F.array(F.lit("duplicate_key")))
+                   .otherwise(F.array().cast("array<string>")))
+    return keys.filter(repeated | (F.col("_bad") > 0)).select(
+        *pk, F.when(repeated, F.col("_n")).otherwise(F.col("_bad")).alias("bad_rows"),
+        F.array_join(F.array_sort(why), ";").alias("reasons"))
+
+
+def full_refresh(df: DataFrame, path: str, staging: str) -> None:
+    """A15 sink: replace the table at ``path`` (which nobody reads meanwhile). The rows are
+    written to ``staging`` first, so a plan that raises leaves the old table in place."""
+    df.write.mode("overwrite").parquet(staging)
+    df.sparkSession.read.parquet(staging).write.mode("overwrite").parquet(path)
 
 
 def append_atomic(new: DataFrame, target: DataFrame | None, contract: Contract, unit: str,
-                  bad_flag: str | None = None, max_units: int | None = None,
-                  range_key: str | None = None):
+                  bad_flag: str | None = None, range_key: str | None = None):
     """Insert-only load committed per ``unit``; a unit with any bad row (contract
     violation, strict-date failure, key already in target, key repeated within the
-    load) is rolled back whole. Returns (accepted rows, failed units with reasons)."""
-    checked = _mark_repeats(_mark_existing(enforce_contract(new, contract), target, contract.pk, range_key),
-                            contract.pk)
-    checked = _with_key_reasons(checked, F.col("_dup"), bad_flag)
-    failed = (checked.filter("_bad").groupBy(unit)
-              .agg(F.count(F.lit(1)).alias("bad_rows"),
-                   F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.split(REASONS, ";")))))
-                   .alias("reasons")))
-    accepted = checked.join(_units_side(failed.select(unit), max_units), unit, "left_anti")
+    load) is rolled back whole. Returns (accepted rows, failed units with reasons).
+
+    The verdict takes one pass over the feed, the accepted rows another."""
+    checked = _flagged(new, contract, bad_flag)
+    failed = (_keys(checked, target, contract.pk, unit, range_key).filter(F.col("bad_rows") > 0)
+              .groupBy(unit).agg(F.sum("bad_rows").alias("bad_rows"),
+                                 F.array_sort(F.array_distinct(F.flatten(F.collect_set("why")))).alias("reasons")))
+    accepted = checked.join(failed.select(unit), unit, "left_anti")
     return accepted.select(*contract.columns), failed
 
 
 def append_prefix(new: DataFrame, target: DataFrame | None, contract: Contract, unit: str,
-                  order: str, batch_size: int = 1000, block: Column | None = None,
-                  max_units: int | None = None, range_key: str | None = None):
+                  order: str, batch_size: int = 1000, block_rows: int = 1 << 20,
+                  range_key: str | None = None):
     """Rows of each unit in ``order``, cut into batches of ``batch_size``; every
     batch commits on its own; the first bad batch is rolled back and ends the unit,
-    earlier batches stay. Row numbers come from per-(unit, block) counts plus offsets
-    (``global_row_index``), so a hot unit is numbered by many tasks.
-    Returns (accepted rows, failed (unit, first_bad_batch, dropped_rows))."""
-    checked = _mark_existing(enforce_contract(new, contract), target, contract.pk, range_key)
-    # a repeated key fails in the batch of its second occurrence (``order`` is unique)
-    checked = _mark_repeats(checked, contract.pk, order)
-    checked = checked.withColumn("_bad", _bad(None) | F.col("_dup"))
-    blk = block if block is not None else F.floor(F.col(order) / F.lit(1 << 20))
-    numbered = global_row_index(checked, order, "_rn", block=blk, partition=[unit])
-    numbered = numbered.withColumn("_batch", F.floor((F.col("_rn") - 1) / F.lit(batch_size)))
-    first_bad = numbered.filter("_bad").groupBy(unit).agg(F.min("_batch").alias("_first_bad"))
-    j = numbered.join(_units_side(first_bad, max_units), unit, "left")
-    keep = F.col("_first_bad").isNull() | (F.col("_batch") < F.col("_first_bad"))
-    accepted = j.filter(keep).select(*contract.columns)
-    failed = (j.filter(~keep).groupBy(unit)
-              .agg(F.min("_first_bad").alias("first_bad_batch"), F.count(F.lit(1)).alias("dropped_rows")))
-    return accepted, failed
-
-
-def upsert(target: DataFrame | None, src: DataFrame, contract: Contract, seq: str | list[str]):
+    earlier batches stay. A repeated key fails in the batch of its second occurrence.
+    Returns (accepted rows, failed (unit, first_bad_batch, dropped_rows)).
+
+    Units without a bad row are accepted as they are. Of the others, only those that keep
+    a batch are numbered, from counts per (unit, block of ``order`` values) plus offsets
+    (``global_row_index``), so a hot unit is numbered by many tasks."""
+    pk = contract.pk
+    checked = _flagged(new, contract, None)
+    repeated = (checked.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_first"))
+                .filter(F.col("_n") > 1).drop("_n"))
+    marked = checked.join(repeated, pk, "left")
+    bad = ~is_clean() | F.coalesce(F.col(order) > F.col("_first"), F.lit(False))
+    if target is not None:
+        there = _target_keys(checked, target, pk, range_key).withColumn(IN_TARGET, F.lit(True))
+        marked = marked.join(there, pk, "left")
+        bad = bad | F.col(IN_TARGET).isNotNull()
+    stops = marked.filter(bad).groupBy(unit).agg(F.min(order).alias("_stop"))
+    failed = (checked.select(unit, order).join(stops, unit).groupBy(unit)
+              .agg(F.count_if(F.col(order) < F.col("_stop")).alias("_before"), F.count(F.lit(1)).alias("_rows"))
+              .select(unit, F.floor(F.col("_before") / batch_size).alias("first_bad_batch"), "_rows"))
+    kept = (failed.filter(F.col("first_bad_batch") > 0)
+            .select(unit, (F.col("first_bad_batch") * batch_size).alias("_keep")))
+    numbered = global_row_index(checked.join(kept, unit), order, "_rn", partition=[unit],
+                                block=F.floor(F.col(order) / F.lit(block_rows)))
+    accepted = (checked.join(stops.select(unit), unit, "left_anti").select(*contract.columns)
+                .unionByName(numbered.filter(F.col("_rn") <= F.col("_keep")).select(*contract.columns)))
+    return accepted, failed.select(
+        unit, "first_bad_batch", (F.col("_rows") - F.col("first_bad_batch") * batch_size).alias("dropped_rows"))
+
+
+def upsert(target: DataFrame | None, src: DataFrame, contract: Contract, seq: str | list[str],
+           range_key: str | None = None):
     """MERGE on the primary key applied row by row in ``seq`` order: a row that
     violates the contract is skipped (and reported), otherwise the last row per key
     replaces the target row or is inserted. The winner per key is a ``max_by`` over
-    ``seq`` (partial aggregation, no sort of a whole key group).
+    ``seq`` (partial aggregation, no sort of a whole key group). With ``range_key`` only
+    target rows between the winners' least and greatest value of it are joined; rows
+    outside cannot match and pass by the join.
     Returns (new target, rejected rows with reason)."""
     checked = enforce_contract(src, contract)
     valid = checked.filter(is_clean())
@@ -154,27 +179,52 @@ def upsert(target: DataFrame | None, src: DataFrame, contract: Contract, seq: st
     winners = win.select(*pk, *[F.col(f"_w.{c}").alias(c) for c in rest]).select(*contract.columns)
     if target is None:
         return winners, rejects
-    typed_target = target.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.schema.fields])
-    kept = typed_target.join(winners.select(*pk), pk, "left_anti")
-    return kept.unionByName(winners), rejects
-
-
-def merge_into_path(spark: SparkSession, path: str, merged_partitions: DataFrame,
-                    partition_col: str, staging: str) -> None:
-    """A18 sink: rewrite only the partitions touched by the merge. The merged rows go to
+    typed = target.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.schema.fields])
+    if range_key is None:
+        return typed.join(winners.select(*pk), pk, "left_anti").unionByName(winners), rejects
+    lo, hi = valid.select(F.min(range_key)).scalar(), valid.select(F.max(range_key)).scalar()
+    reached = F.coalesce(F.col(range_key).between(lo, hi), F.lit(False))
+    untouched = typed.filter(~reached)
+    kept = typed.filter(reached).join(winners.select(*pk), pk, "left_anti")
+    return untouched.unionByName(kept).unionByName(winners), rejects
+
+
+def merge_into_path(spark: SparkSession, path: str, src: DataFrame, contract: Contract, seq: str | list[str],
+                    partition: Column, staging: str) -> DataFrame:
+    """A18 sink: MERGE ``src`` into the table at ``path``, partitioned by the column that
+    ``partition`` names (an expression over key columns, with an alias). Only partitions
+    that the rows of ``src`` fall into are read and rewritten. The merged rows go to
     ``staging`` first (never overwrite the path being read), then replace the matching
-    partitions of ``path`` with dynamic partition overwrite."""
-    merged_partitions.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
+    partitions. Returns the rejected rows."""
+    valid = enforce_contract(src, contract).filter(is_clean())
+    touched = valid.select(partition).distinct()
+    name = touched.columns[0]
+    # a join on the partition column: Spark prunes the scan to the partitions on the other side
+    in_scope = spark.read.parquet(path).join(touched, name, "left_semi")
+    merged, rejects = upsert(in_scope, src, contract, seq)
+    merged.withColumn(name, partition).write.mode("overwrite").partitionBy(name).parquet(staging)
     (spark.read.parquet(staging).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+     .option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(path))
+    return rejects
+
+
+def load_report(offered: DataFrame, inserted: DataFrame, unit: str) -> DataFrame:
+    """Per unit the rows that the load offered, inserted and rejected."""
+    one, none = F.lit(1), F.lit(0)
+    both = (offered.select(unit, one.alias("o"), none.alias("i"))
+            .unionByName(inserted.select(unit, none.alias("o"), one.alias("i"))))
+    return both.groupBy(unit).agg(F.sum("o").alias("offered"), F.sum("i").alias("inserted"),
+                                  F.sum(F.col("o") - F.col("i")).alias("rejected"))
+
+
+def on_list(feed: DataFrame, codes: DataFrame | None, code: str = "code") -> DataFrame:
+    """The feed's rows whose code is on the vendor's list (all, without a list)."""
+    return feed if codes is None else feed.join(codes.select(code).distinct(), code, "left_semi")
 
 
-def load_report(rows: DataFrame, failed: DataFrame, unit: str) -> DataFrame:
-    """Per unit the rows offered, rows inserted and whether the unit failed."""
-    offered = rows.groupBy(unit).agg(F.count(F.lit(1)).alias("offered"))
-    f = failed.select(unit, F.lit(True).alias("failed"))
-    return (offered.join(f, unit, "left")
-            .select(unit, "offered", F.coalesce("failed", F.lit(False)).alias("failed")))
+def listed_without_data(codes: DataFrame, feed: DataFrame, code: str = "code") -> DataFrame:
+    """Listed codes for which the feed has no row."""
+    return codes.select(code).distinct().join(feed.select(code).distinct(), code, "left_anti")
 
 
 def report_periods(y0: int = 2009, y1: int = 2025) -> list[str]:

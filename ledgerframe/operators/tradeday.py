@@ -5,12 +5,17 @@ activity, close prices of the bridge) is a sum over trades of one ticker-day. Fo
 trades to that grain first means the only operator that touches trade volume is a
 partial (map-side) hash aggregate; everything downstream works on days x tickers rows,
 a size fixed by the calendar and the instrument list rather than by the data volume.
-Sharing one summary DataFrame between consumers lets Spark reuse its shuffle.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DecimalType
+
+# A price of at most this many digits, times a share count, fits a 64-bit integer.
+_LONG_DIGITS = 12
 
 
 def signed_shares(action: str = "action", shares: str = "shares",
@@ -25,27 +30,41 @@ def signed_shares(action: str = "action", shares: str = "shares",
     return F.when(a == sell, -F.col(shares)).otherwise(F.col(shares))
 
 
-def daily_trade_summary(trades: DataFrame, price_scale: int = 2) -> DataFrame:
+def _exact_notional(price: DecimalType, signed: Column) -> tuple[list[Column], Column]:
+    """Aggregates, and the expression over them that gives sum(tradeprice * signed) exactly.
+
+    A decimal product per trade would exceed 18 digits and make Spark allocate an object
+    for each. A price that fits is therefore counted in its smallest unit (its scale says
+    which), and the 64-bit products are summed as their upper and lower 32 bits, so the
+    sums hold for two thousand million trades of a ticker-day. Wider prices are summed as
+    decimals.
+    """
+    target = f"decimal(38,{price.scale})"
+    if price.precision > _LONG_DIGITS:
+        return [F.sum((F.col("tradeprice") * signed).cast(target)).alias("_exact")], F.col("_exact")
+    units = (F.col("tradeprice") * F.lit(10 ** price.scale)).cast("bigint") * signed
+    upper = F.sum(F.shiftright(units, 32)).alias("_upper")
+    lower = F.sum(units.bitwiseAND(F.lit((1 << 32) - 1))).alias("_lower")
+    total = F.col("_upper").cast("decimal(20,0)") * F.lit(1 << 32) + F.col("_lower")
+    return [upper, lower], (total * F.lit(Decimal(1).scaleb(-price.scale))).cast(target)
+
+
+def daily_trade_summary(trades: DataFrame) -> DataFrame:
     """(tradedate, ticker) -> n_trades, shares, max_price, net_shares, signed_notional.
 
     ``signed_notional`` = sum(tradeprice * signed shares), so for any price ``p`` the
     per-trade sum ``sum((p - tradeprice) * signed)`` equals ``p * net_shares -
-    signed_notional`` exactly.
-
-    The per-trade product is summed in integer minor units (price x 10^scale, a
-    64-bit long; ANSI mode raises rather than wraps on overflow). A decimal product
-    of price and share count would exceed 18 digits and make Spark use an object
-    decimal for every trade. The sum becomes a decimal once per (day, ticker).
+    signed_notional`` exactly, at the scale that the price column declares.
     """
+    price = trades.schema["tradeprice"].dataType
+    if not isinstance(price, DecimalType):
+        raise TypeError(f"tradeprice must be a decimal, not {price.simpleString()}: money is summed exactly")
     s = signed_shares()
-    unit = 10 ** price_scale
-    minor = (F.col("tradeprice") * F.lit(unit)).cast("bigint")   # exact: price has `price_scale` places
-    g = trades.groupBy("tradedate", "ticker").agg(
+    sums, notional = _exact_notional(price, s)
+    return trades.groupBy("tradedate", "ticker").agg(
         F.count("orderid").alias("n_trades"),
         F.sum("shares").alias("shares"),
         F.max("tradeprice").alias("max_price"),
         F.sum(s).alias("net_shares"),
-        F.sum(minor * s).alias("_notional_minor"),
-    )
-    notional = (F.col("_notional_minor").cast("decimal(38,0)") / F.lit(unit)).cast(f"decimal(38,{price_scale})")
-    return g.withColumn("signed_notional", notional).drop("_notional_minor")
+        *sums,
+    ).withColumn("signed_notional", notional).drop("_upper", "_lower", "_exact")

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import cached_property
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerframe.functions.output import comparable
-from ledgerframe.operators.joins import bounded_broadcast
 from ledgerframe.operators.tradeday import daily_trade_summary
 from ledgerframe.plans import portfolio as P
 from ledgerframe.plans import risk as R
-from ledgerframe.session import cut_lineage
 from ledgerframe.sources import bridge
 
 # Fixed parameters of the registered queries (the reference's literals mapped onto the
@@ -20,72 +19,64 @@ from ledgerframe.sources import bridge
 DETAIL_TICKER = "STANDARD"
 DETAIL_DATE = "1998-03-18"
 TRADES_TO_DATE = "1996-01-27"
+# Reported places: the amount is computed from the full volatility, to whole units here.
+RISK_PLACES = {"std_30": 10, "risk_amount": 0}
 
 
 class Book:
-    """Input and derived tables for one data directory.
+    """Input and derived tables for one data directory, all lazy: building a query runs
+    no job.
 
-    The per ticker-day trade summary (one pass over the blotter, which also yields the
-    calendar's date bounds) and the calendar are checkpointed once (reliable
-    checkpoint in the shared ``spark.checkpoint.dir``); positions, P&L and NAV are
-    checkpointed when first used, as the reference materialises them as tables (A21).
-    All of these are days x tickers or smaller, so each cut costs one small write,
-    keeps the blotter scan to one pass per query, and means a lost executor never
-    re-runs the chain above the cut."""
+    The per ticker-day summary, and positions, P&L and NAV (which the reference also keeps
+    as tables, A21), are marked to be kept when first computed. They are days x tickers or
+    smaller, several parts of a plan read them, and queries of one session share them.
+    Spark recomputes what a lost executor held."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.trades = bridge.trades(spark, sf_dir)       # lazy plan, no job
-        self._summary = self._calendar = None
-        self._positions = self._pl = self._nav = None
-
-    # checkpointed frames are counted cheaply, so their broadcast is size-checked
-    _small = staticmethod(bounded_broadcast)
-
-    @property
-    def _summary_all(self) -> DataFrame:
-        """Per (day, ticker) summary of every lineitem (NULL ticker: no part), one scan."""
-        if self._summary is None:
-            every = bridge.trades(self.spark, self.sf_dir, keep_unmatched=True)
-            self._summary = self._small(cut_lineage(daily_trade_summary(every)))
-        return self._summary
-
-    @property
+
+    @cached_property
+    def trades(self) -> DataFrame:
+        return bridge.trades(self.spark, self.sf_dir)
+
+    @cached_property
+    def quoted(self) -> DataFrame:
+        """Per (day, ticker) summary of every quote: one pass over lineitem."""
+        return daily_trade_summary(bridge.quotes(self.spark, self.sf_dir)).persist()
+
+    @cached_property
     def summary(self) -> DataFrame:
-        return self._summary_all.filter(F.col("ticker").isNotNull())
+        return self.quoted.filter(bridge.is_trading_day("tradedate"))
 
-    @property
+    @cached_property
     def closeprices(self) -> DataFrame:
-        return bridge.closeprices_from_summary(self.summary)
+        return bridge.closeprices_from_summary(self.quoted)
+
+    @cached_property
+    def unkept_closeprices(self) -> DataFrame:
+        """The same prices for a query of few rows, whose filters then reach the scan."""
+        return bridge.closeprices_from_summary(daily_trade_summary(bridge.quotes(self.spark, self.sf_dir)))
 
-    @property
+    @cached_property
     def calendar(self) -> DataFrame:
-        # bounds from the checkpointed summary (no second lineitem scan); one row per
-        # day, so broadcast without a check
-        if self._calendar is None:
-            self._calendar = F.broadcast(cut_lineage(bridge.calendar_from_summary(self._summary_all)))
-        return self._calendar
+        # one row per day
+        return F.broadcast(bridge.calendar(self.spark, self.sf_dir))
 
-    @property
+    @cached_property
     def positions(self) -> DataFrame:
-        if self._positions is None:
-            self._positions = self._small(cut_lineage(P.net_positions(self.trades, self.calendar, self.summary)))
-        return self._positions
+        return P.net_positions(self.trades, self.calendar, self.summary).persist()
 
-    @property
+    @cached_property
     def pl(self) -> DataFrame:
-        if self._pl is None:
-            self._pl = F.broadcast(cut_lineage(P.daily_pl(self.positions, self.trades, self.calendar,
-                                                          self.closeprices, self.summary)))
-        return self._pl
+        # one row per day, as is NAV
+        return F.broadcast(P.daily_pl(self.positions, self.trades, self.calendar,
+                                      self.closeprices, self.summary).persist())
 
-    @property
+    @cached_property
     def nav(self) -> DataFrame:
-        if self._nav is None:
-            self._nav = F.broadcast(cut_lineage(P.nav(self.pl)))   # one row per day
-        return self._nav
+        return F.broadcast(P.nav(self.pl).persist())
 
-    @property
+    @cached_property
     def returns(self) -> DataFrame:
         return P.daily_returns(self.calendar, self.closeprices)
 
@@ -106,8 +97,8 @@ def _k41(b: Book) -> DataFrame:
 
 
 QUERIES = {
-    "price_with_prev_detail": _q(lambda b: P.price_with_prev_detail(b.closeprices, b.calendar, DETAIL_TICKER, DETAIL_DATE)),
-    "calendar_prices_trades": _q(lambda b: P.calendar_prices_trades(b.calendar, b.closeprices, b.trades, b.summary)),
+    "price_with_prev_detail": _q(lambda b: P.price_with_prev_detail(b.unkept_closeprices, b.calendar, DETAIL_TICKER, DETAIL_DATE)),
+    "calendar_prices_trades": _q(lambda b: P.calendar_prices_trades(b.calendar, b.closeprices, b.trades)),
     "previous_close": _q(lambda b: P.previous_close(b.closeprices, b.calendar)),
     "trade_activity": _q(lambda b: P.trade_activity(b.calendar, b.trades, b.summary)),
     "trades_to_date": _q(lambda b: P.trades_to_date(b.calendar, b.trades, TRADES_TO_DATE)),
@@ -126,8 +117,8 @@ QUERIES = {
     "ticker_contributions": _q(lambda b: P.ticker_contributions(b.positions, b.calendar, b.closeprices)),
     "zscore_90d": _q(lambda b: R.zscore(b.returns, 90), {"z_score": 6}),
     "largest_zscore": _q(lambda b: R.largest_zscore(b.returns, 90), {"z_score": 6}),
-    "risk_allocation": _q(lambda b: R.risk_allocation(b.positions, b.closeprices, b.returns, 30)),
-    "max_risk_position": _q(lambda b: R.max_risk_position(b.positions, b.closeprices, b.returns, 30)),
+    "risk_allocation": _q(lambda b: R.risk_allocation(b.positions, b.closeprices, b.returns, 30), RISK_PLACES),
+    "max_risk_position": _q(lambda b: R.max_risk_position(b.positions, b.closeprices, b.returns, 30), RISK_PLACES),
     "daily_exposure": _q(_exposure),
     "avg_exposure": _q(lambda b: R.avg_exposure(_exposure(b)),
                        {"avg_net_notional": 2, "avg_gross_notional": 2}),

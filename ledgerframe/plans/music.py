@@ -98,6 +98,12 @@ def distinct_values(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*cols).distinct()
 
 
+def _listed_tracks(s: Store) -> DataFrame:
+    """Ids of the tracks on any playlist, once each. A hot playlist's rows are the side
+    of the semi join that Spark can split, and are reduced to tracks right after it."""
+    return s.playlisttrack.join(s.playlist, "playlistid", "left_semi").select("trackid").distinct()
+
+
 def _composer_tracks(s: Store, composer: str) -> DataFrame:
     """Tracks of one composer that sit on an album (the reference joins album)."""
     t = s.track.filter(F.col("composer") == composer).select("trackid", "albumid")
@@ -107,14 +113,13 @@ def _composer_tracks(s: Store, composer: str) -> DataFrame:
 def playlists_with_composer(s: Store, composer: str) -> DataFrame:
     """K5: distinct playlists holding a track by ``composer`` (filter first, semi joins)."""
     t = _composer_tracks(s, composer)
-    pt = s.playlisttrack.join(t, "trackid", "left_semi")
-    return s.playlist.join(pt, "playlistid", "left_semi").select("playlistid")
+    ids = s.playlisttrack.join(t, "trackid", "left_semi").select("playlistid").distinct()
+    return s.playlist.join(ids, "playlistid", "left_semi").select("playlistid")
 
 
 def albums_with_composer(s: Store, composer: str) -> DataFrame:
     """K5: distinct album titles of ``composer`` tracks that are on some playlist."""
-    on_list = s.playlisttrack.join(s.playlist, "playlistid", "left_semi")
-    t = _composer_tracks(s, composer).join(on_list, "trackid", "left_semi")
+    t = _composer_tracks(s, composer).join(_listed_tracks(s), "trackid", "left_semi")
     return t.select("title").distinct()
 
 
@@ -224,8 +229,7 @@ def top_city_per_country(s: Store, countries: list[str]) -> DataFrame:
 
 def _tracks_on_playlists(s: Store) -> DataFrame:
     """Distinct tracks appearing on any playlist: semi joins, no fan-out."""
-    on_list = s.playlisttrack.join(s.playlist, "playlistid", "left_semi")
-    return s.track.join(on_list, "trackid", "left_semi")
+    return s.track.join(_listed_tracks(s), "trackid", "left_semi")
 
 
 def genre_totals(s: Store) -> DataFrame:
@@ -280,11 +284,14 @@ def customers_by_country_rep(s: Store) -> DataFrame:
 
 
 def rep_efficiency(s: Store) -> DataFrame:
-    """Distinct customers, invoice total and total per customer per (country, rep)."""
-    j = (s.employee.join(s.customer, s.customer.supportrepid == s.employee.employeeid)
-         .join(s.invoice.select("customerid", "total"), "customerid"))
+    """Distinct customers, invoice total and total per customer per (country, rep).
+    Invoices are totalled per customer before the joins, so a row is a customer and the
+    distinct count is a count."""
+    per_customer = s.invoice.groupBy("customerid").agg(F.sum("total").alias("total"))
+    c = s.customer.join(per_customer, "customerid")
+    j = s.employee.join(c, c.supportrepid == s.employee.employeeid)
     g = j.groupBy(F.col("country").alias("customer_country"), F.col("firstname").alias("employee_fn")).agg(
-        F.countDistinct("customerid").alias("number_of_unique_customers"),
+        F.count("customerid").alias("number_of_unique_customers"),
         F.sum("total").alias("total_invoice_amount"))
     return g.withColumn("avg_invoice_per_customer",
                         F.try_divide(F.col("total_invoice_amount").cast("double"),
@@ -324,12 +331,17 @@ def revenue_per_invoice(s: Store) -> DataFrame:
 
 
 def revenue_extremes(s: Store) -> DataFrame:
-    """Largest and smallest revenue invoice, labelled (smallest puts NULL first)."""
-    r = revenue_per_invoice(s)
-    hi = top_rows(r, 1, [F.col("revenue").desc_nulls_last(), F.col("invoiceid")])
-    lo = top_rows(r, 1, [F.col("revenue").asc_nulls_first(), F.col("invoiceid")])
-    return (hi.select(F.lit("Largest").alias("bucket"), "invoiceid", "revenue")
-            .unionByName(lo.select(F.lit("Smallest").alias("bucket"), "invoiceid", "revenue")))
+    """Largest and smallest revenue invoice, labelled (smallest puts NULL first; ties
+    go to the lower id). Both ends come from one aggregate."""
+    ends = revenue_per_invoice(s).agg(
+        F.max(F.struct("revenue", (-F.col("invoiceid")).alias("back"))).alias("hi"),
+        F.min(F.struct("revenue", "invoiceid")).alias("lo"))
+    rows = F.array(
+        F.struct(F.lit("Largest").alias("bucket"), (-F.col("hi.back")).alias("invoiceid"),
+                 F.col("hi.revenue").alias("revenue")),
+        F.struct(F.lit("Smallest").alias("bucket"), F.col("lo.invoiceid").alias("invoiceid"),
+                 F.col("lo.revenue").alias("revenue")))
+    return ends.filter(F.col("hi").isNotNull()).select(F.inline(rows))
 
 
 def most_invoiced_song(s: Store) -> DataFrame:

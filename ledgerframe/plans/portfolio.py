@@ -16,7 +16,6 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerframe.operators.joins import bounded_broadcast
 from ledgerframe.operators.ordered import running_sum
 from ledgerframe.operators.tradeday import daily_trade_summary
 
@@ -51,35 +50,29 @@ def to_date(d) -> _dt.date:
 def price_with_prev_detail(closeprices: DataFrame, calendar: DataFrame,
                            ticker: str, closedate) -> DataFrame:
     """One ticker-day with its calendar row and the previous business day's price.
-    The literal filters are applied before the joins."""
-    cp = closeprices.filter((F.col("ticker") == ticker) & (F.col("closedate") == F.lit(to_date(closedate))))
-    prev = closeprices.select(F.col("closedate").alias("previous_business_date"), "ticker",
-                              F.col("closeprice").alias("prev_closeprice"),
-                              F.col("volume").alias("prev_volume"))
-    return (cp.join(calendar, "closedate").join(prev, ["previous_business_date", "ticker"])
+    Both dates are known before the prices are read (the earlier one is a scalar
+    subquery over the calendar), so both sides are filters that reach the scan."""
+    day, of_ticker = F.lit(to_date(closedate)), F.col("ticker") == ticker
+    row = calendar.filter(F.col("closedate") == day)
+    before = row.select(F.max("previous_business_date")).scalar()
+    cp = closeprices.filter(of_ticker & (F.col("closedate") == day))
+    prev = closeprices.filter(of_ticker & (F.col("closedate") == before)).select(
+        F.col("closedate").alias("previous_business_date"), "ticker",
+        F.col("closeprice").alias("prev_closeprice"), F.col("volume").alias("prev_volume"))
+    return (cp.join(row, "closedate").join(prev, ["previous_business_date", "ticker"])
             .select("closedate", "ticker", "closeprice", "volume", "previous_business_date",
                     "prev_closeprice", "prev_volume"))
 
 
-def calendar_prices_trades(calendar: DataFrame, closeprices: DataFrame, trades: DataFrame,
-                           summary: DataFrame | None = None) -> DataFrame:
-    """Calendar x price rows, left-joined to that day's trades of the ticker.
-
-    Rewritten so the trade blotter is never shuffled: the (day, ticker) price frame is
-    broadcast (size-checked) into an inner join streamed over trades, and price rows
-    without trades come from an anti join against the per-ticker-day summary.
-    """
-    s = _summary(trades, summary)
+def calendar_prices_trades(calendar: DataFrame, closeprices: DataFrame, trades: DataFrame) -> DataFrame:
+    """Calendar x price rows, left-joined to that day's trades of the ticker. A plain
+    equi-join: Spark broadcasts the prices when they are small, and splits hot
+    ticker-days otherwise."""
     priced = calendar.join(closeprices.select("closedate", "ticker", "closeprice"), "closedate")
-    small = bounded_broadcast(priced.withColumnRenamed("ticker", "_ticker"))
-    matched = trades.join(small, (trades.tradedate == small.closedate) & (trades.ticker == small._ticker))
-    traded = s.select(F.col("tradedate").alias("closedate"), F.col("ticker").alias("_ticker"))
-    unmatched = (priced.withColumnRenamed("ticker", "_ticker")
-                 .join(traded, ["closedate", "_ticker"], "left_anti"))
-    cols = ["closedate", "previous_business_date", "closeprice"]
-    tcols = ["orderid", "tradedate", "ticker", "action", "shares", "tradeprice"]
-    nulls = [F.lit(None).cast(t).alias(c) for c, t in trades.select(*tcols).dtypes]
-    return matched.select(*cols, *tcols).unionByName(unmatched.select(*cols, *nulls))
+    priced = priced.withColumnRenamed("ticker", "_ticker")
+    return priced.join(trades, (trades.tradedate == priced.closedate) & (trades.ticker == priced._ticker), "left") \
+        .select("closedate", "previous_business_date", "closeprice",
+                "orderid", "tradedate", "ticker", "action", "shares", "tradeprice")
 
 
 def previous_close(closeprices: DataFrame, calendar: DataFrame) -> DataFrame:

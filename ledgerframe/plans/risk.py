@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerframe.operators.joins import bounded_broadcast
 from ledgerframe.operators.ordered import global_lags, running_max
 from ledgerframe.operators.tradeday import signed_shares
 
@@ -41,7 +40,7 @@ def trailing_avg(prices: DataFrame, days: int = 30, min_obs: int = 18) -> DataFr
     day_no = F.datediff(F.col("date"), F.lit("1970-01-01").cast("date"))
     w = Window.partitionBy("ticker").orderBy(day_no).rangeBetween(-days, 0)
     return (prices.select("date", "close", "ticker",
-                          F.avg("close").over(w).alias("avg_close"),
+                          F.avg(F.col("close").cast("double")).over(w).alias("avg_close"),
                           F.count("close").over(w).alias("_n"))
             .filter(F.col("_n") >= min_obs).drop("_n"))
 
@@ -92,26 +91,18 @@ def volatility(returns: DataFrame, n: int = 30) -> DataFrame:
 
 
 def risk_allocation(positions: DataFrame, closeprices: DataFrame, returns: DataFrame,
-                    n: int = 30, std_decimals: int | None = 8) -> DataFrame:
-    """|quantity * close * std_n| per position-day.
-
-    The volatility is reported to ``std_decimals`` places and the risk amount is
-    computed from the reported figure, so the amount is reproducible across engines
-    whose standard-deviation algorithms differ in the last bits."""
+                    n: int = 30) -> DataFrame:
+    """|quantity * close * std_n| per position-day, from the full volatility."""
     std = f"std_{n}"
-    vol = volatility(returns, n)
-    if std_decimals is not None:
-        vol = vol.withColumn(std, F.round(std, std_decimals))
     j = (positions.join(closeprices.select("closedate", "ticker", "closeprice"), ["closedate", "ticker"])
-         .join(vol, ["closedate", "ticker"]))
+         .join(volatility(returns, n), ["closedate", "ticker"]))
     return j.select("closedate", "ticker", "quantity", "closeprice", std,
                     F.abs((F.col("quantity") * F.col("closeprice")).cast("double") * F.col(std))
                     .alias("risk_amount"))
 
 
-def max_risk_position(positions, closeprices, returns, n: int = 30,
-                      std_decimals: int | None = 8) -> DataFrame:
-    return top1(risk_allocation(positions, closeprices, returns, n, std_decimals),
+def max_risk_position(positions, closeprices, returns, n: int = 30) -> DataFrame:
+    return top1(risk_allocation(positions, closeprices, returns, n),
                 F.col("risk_amount").desc_nulls_last(), "closedate", "ticker")
 
 
@@ -129,8 +120,8 @@ def daily_exposure(positions: DataFrame, closeprices: DataFrame) -> DataFrame:
 
 def avg_exposure(exposure: DataFrame) -> DataFrame:
     """Average net and gross notional over days (global aggregate)."""
-    return exposure.agg(F.avg("net_notional").alias("avg_net_notional"),
-                        F.avg("gross_notional").alias("avg_gross_notional"))
+    return exposure.agg(F.avg(F.col("net_notional").cast("double")).alias("avg_net_notional"),
+                        F.avg(F.col("gross_notional").cast("double")).alias("avg_gross_notional"))
 
 
 def max_short_day(exposure: DataFrame) -> DataFrame:
@@ -175,12 +166,12 @@ def worst_drawdown(nav: DataFrame) -> DataFrame:
 def trade_pnl_as_of_last_price(trades: DataFrame, closeprices: DataFrame) -> DataFrame:
     """Per trade, (close on the single latest price date - trade price) * signed
     shares, where 'sell' matches case-insensitively. Tickers without a price on that
-    date are dropped. The last-price frame has one row per ticker and is broadcast
-    after a size check, so the blotter is streamed, never shuffled."""
+    date are dropped. The last-price frame has one row per ticker; Spark broadcasts it
+    when it is small, so that the blotter is streamed."""
     last_day = closeprices.select(F.max("closedate")).scalar()
     last = (closeprices.filter(F.col("closedate") == last_day)
             .select(F.col("ticker").alias("_t"), F.col("closeprice").alias("last_closeprice")))
-    j = trades.join(bounded_broadcast(last), trades.ticker == F.col("_t"))
+    j = trades.join(last, trades.ticker == F.col("_t"))
     signed = signed_shares(case_sensitive=False)
     return j.select("orderid", "tradedate", "ticker", "shares", "action", "tradeprice", "last_closeprice",
                     ((F.col("last_closeprice") - F.col("tradeprice")) * signed).alias("trade_pnl"))

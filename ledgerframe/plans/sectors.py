@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerframe.functions.cleaning import rename_columns
 from ledgerframe.functions.vendor import SECTOR_MAPPING_HEADERS
-from ledgerframe.operators.joins import bounded_broadcast
 
 UNK = "UNK"   # fixed value: the reference's placeholder for "no classification"
 
@@ -41,17 +40,19 @@ def sector_code_panel(changes: DataFrame, start=None, end=None) -> DataFrame:
     ``start`` defaults to the first change date; ``end`` defaults to today (as the
     reference) and may be passed as a date, text or Column. Changes outside the range
     are ignored, so a later start forgets earlier codes (the reference re-indexes
-    before filling). (symbol, start_date) should be unique (check with A14 first);
-    repeated rows are folded to the greatest non-NULL code of that day.
+    before filling). (symbol, start_date) must be unique, as the reference's pivot demands:
+    a repeated pair raises when the plan runs (``change_conflicts`` lists them).
     """
     lo = _bound(changes, start, F.min("start_date"))
     hi = _bound(changes, end, F.max(F.current_date()))
-    # one event per (symbol, day): repeats (which the reference rejects) are folded by a
-    # partial aggregate, so a symbol's window never holds more than two rows per day
+    # one event per (symbol, day), so a symbol's window never holds more than two rows a day
+    repeated = F.raise_error(F.concat(F.lit("sector changes are not unique: symbol "), F.col("symbol"),
+                                      F.lit(" on "), F.col("date").cast("string"))).cast("string")
     events = (changes.filter(F.col("start_date").between(lo, hi))
               .groupBy(F.col("start_date").alias("date"), "symbol")
-              .agg(F.max("industry_code").alias("_code"))
-              .withColumn("_spine", F.lit(0)))
+              .agg(F.max("industry_code").alias("_code"), F.count(F.lit(1)).alias("_rows"))
+              .select("date", "symbol", F.when(F.col("_rows") > 1, repeated).otherwise(F.col("_code")).alias("_code"),
+                      F.lit(0).alias("_spine")))
     spine = (changes.select("symbol").distinct().filter(lo <= hi)
              .select(F.explode(F.sequence(lo, hi)).alias("date"), "symbol",
                      F.lit(None).cast("string").alias("_code"), F.lit(1).alias("_spine")))
@@ -63,6 +64,15 @@ def sector_code_panel(changes: DataFrame, start=None, end=None) -> DataFrame:
             .select("date", "symbol", F.coalesce("industry_code", F.lit(UNK)).alias("industry_code")))
 
 
+def change_conflicts(changes: DataFrame) -> DataFrame:
+    """A14 for K44: the (symbol, start_date) pairs that stand in several change rows, with
+    the number of rows and the least and greatest code."""
+    return (changes.groupBy("symbol", "start_date")
+            .agg(F.count(F.lit(1)).alias("rows"), F.min("industry_code").alias("least_code"),
+                 F.max("industry_code").alias("greatest_code"))
+            .filter(F.col("rows") > 1))
+
+
 def load_mapping(mapping: DataFrame) -> DataFrame:
     """industry_code -> level1..level3 with missing names as 'UNK' (mapping file load;
     the vendor's headers are renamed first)."""
@@ -73,9 +83,8 @@ def load_mapping(mapping: DataFrame) -> DataFrame:
 
 def sector_and_industry(panel: DataFrame, mapping: DataFrame) -> DataFrame:
     """Level-1 (sector) and level-3 (industry) names per panel cell, 'UNK' for
-    'UNK' codes and codes missing from the mapping. The mapping has one row per code
-    and is broadcast after a size check."""
-    m = bounded_broadcast(load_mapping(mapping).select("industry_code", "level1", "level3"))
+    'UNK' codes and codes missing from the mapping (one row per code)."""
+    m = load_mapping(mapping).select("industry_code", "level1", "level3")
     j = panel.join(m, "industry_code", "left")
     known = F.col("industry_code") != F.lit(UNK)
     return j.select("date", "symbol",

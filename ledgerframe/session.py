@@ -1,10 +1,8 @@
-"""Session construction and lineage cuts."""
+"""Session construction."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every job relies on: ANSI stays on (lenient parsing is spelled try_*),
 # AQE re-plans joins from runtime sizes and splits skewed shuffle partitions.
@@ -38,30 +36,3 @@ def get_session(master: str = "local[8]", app: str = "ledgerframe",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local tests)
-    fall back to a fresh scratch folder. Under Spark Connect there is no client-side
-    context: the server's ``spark.checkpoint.dir`` applies and nothing is set here."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect session
-        return spark.conf.get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="ledgerframe-ckpt-")
-    sc.setCheckpointDir(configured)
-    return configured
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never a local one), so a
-    lost executor does not force recomputation of the whole upstream chain."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -9,9 +9,10 @@ DataFrame plan, so the work grows with the driver tables.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerframe.operators.tradeday import daily_trade_summary
 from ledgerframe.sources.tables import scan_table
@@ -19,27 +20,43 @@ from ledgerframe.sources.tables import scan_table
 
 # --------------------------------------------------------------------------- market
 
-def trades(spark: SparkSession, sf_dir: str, keep_unmatched: bool = False) -> DataFrame:
-    """orderid, tradedate, ticker, action, shares, tradeprice (one row per lineitem
-    with a part). ``keep_unmatched`` also keeps lineitems without a part, with a NULL
-    ticker, so one scan can serve both the trades and the calendar's date bounds."""
+# Month and day on which the bridge has prices but no trades.
+HOLIDAYS = ("01-01", "05-01", "12-25")
+
+def _price() -> Column:
+    """The line's price with four places, so that sub-cent prices occur."""
+    cents = F.col("l_extendedprice").cast("decimal(12,2)").cast("decimal(12,4)")
+    return (cents + (F.col("l_orderkey") % 97).cast("decimal(4,0)") * F.lit(Decimal("0.0001"))).cast("decimal(12,4)")
+
+
+def is_trading_day(day: str) -> Column:
+    """The book doesn't trade on HOLIDAYS; the market still quotes."""
+    return ~F.date_format(day, "MM-dd").isin(*HOLIDAYS)
+
+
+def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every lineitem with a part, in the shape of a trade."""
     li = scan_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_returnflag", "l_quantity", "l_extendedprice", "l_shipdate")
     part = scan_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     flag = F.col("l_returnflag")
-    how = "left" if keep_unmatched else "inner"
-    return li.join(part, li.l_partkey == part.p_partkey, how).select(
+    return li.join(part, li.l_partkey == part.p_partkey).select(
         F.col("l_orderkey").alias("orderid"),
         F.col("l_shipdate").cast("date").alias("tradedate"),
         F.col("p_type").alias("ticker"),
         F.when(flag == "R", "Sell").when(flag == "A", "sell").otherwise("Buy").alias("action"),
         F.col("l_quantity").cast("bigint").alias("shares"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("tradeprice"),
+        _price().alias("tradeprice"),
     )
 
 
+def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orderid, tradedate, ticker, action, shares, tradeprice: the quotes of trading days."""
+    return quotes(spark, sf_dir).filter(is_trading_day("tradedate"))
+
+
 def closeprices_from_summary(summary: DataFrame) -> DataFrame:
-    """closedate, ticker, closeprice, volume: weekday ticker-days, highest trade price."""
+    """closedate, ticker, closeprice, volume: weekday ticker-days, highest quoted price."""
     return summary.filter(F.weekday("tradedate") < 5).select(
         F.col("tradedate").alias("closedate"), "ticker",
         F.col("max_price").alias("closeprice"),
@@ -57,14 +74,8 @@ def calendar_between(lo: DataFrame) -> DataFrame:
     return days.select("closedate", F.date_sub("closedate", back).alias("previous_business_date"))
 
 
-def calendar_from_summary(summary_all: DataFrame) -> DataFrame:
-    """The calendar from a summary of *all* lineitems (``trades(keep_unmatched=True)``):
-    its trade-date bounds are exactly min/max of ``l_shipdate``, so no second scan."""
-    bounds = summary_all.agg(F.min("tradedate").alias("lo"), F.max("tradedate").alias("hi"))
-    return calendar_between(bounds)
-
-
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the first to the last shipping date: a scan of one column."""
     li = scan_table(spark, sf_dir, "lineitem").select("l_shipdate")
     bounds = li.agg(F.min("l_shipdate").cast("date").alias("lo"),
                     F.max("l_shipdate").cast("date").alias("hi"))
@@ -81,11 +92,10 @@ class Market:
 
 
 def market(spark: SparkSession, sf_dir: str) -> Market:
-    """Lazy input tables; the registered queries (``plans.market_catalog.Book``) add
-    reliable checkpoints of the summary and calendar on top of the same plans."""
-    t = trades(spark, sf_dir)
-    s = daily_trade_summary(t)
-    return Market(t, s, closeprices_from_summary(s), calendar(spark, sf_dir))
+    """Lazy input tables: quotes are folded once, trades and prices both come from that."""
+    quoted = daily_trade_summary(quotes(spark, sf_dir))
+    return Market(trades(spark, sf_dir), quoted.filter(is_trading_day("tradedate")),
+                  closeprices_from_summary(quoted), calendar(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------- music store
@@ -170,9 +180,9 @@ class LazyStore:
 
     @cached_property
     def playlist(self) -> DataFrame:
-        # the distinct l_suppkey of lineitem, taken from playlisttrack so that a query
-        # using both shares one lineitem scan and exchange
-        return self.playlisttrack.select("playlistid").distinct()
+        # a plain table: a join of playlisttrack with its own DISTINCT could not be split
+        # at a hot playlist
+        return self._t("supplier").select(F.col("s_suppkey").alias("playlistid"))
 
     @cached_property
     def playlisttrack(self) -> DataFrame:
@@ -239,6 +249,14 @@ def stock_sector(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_sector_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change table before it is made unique: symbol, start_date, industry_code."""
+    o = scan_table(spark, sf_dir, "orders")
+    return o.select((F.col("o_custkey") % 50).cast("string").alias("symbol"),
+                    F.col("o_orderdate").cast("date").alias("start_date"),
+                    F.col("o_orderpriority").alias("industry_code")).distinct()
+
+
 def sector_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """industry_code (unique), level1 (nullable), level2, level3."""
     o = scan_table(spark, sf_dir, "orders").select("o_orderpriority")

@@ -117,15 +117,46 @@ def dividend_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         _day().cast("string").alias("latest_announcement"))
 
 
-def index_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """One headerless frame per market (c0..c4 = date text, close, pb, weighted pb,
-    median pb), keyed by market tag, as the vendor returns them per index."""
+def index_feed(spark: SparkSession, sf_dir: str, oversize: str | None = None) -> DataFrame:
+    """Tagged rows of all markets in one pass: trade_date (text), index_value, pb,
+    pb_weighted, pb_median, market. The vendor's median is a given figure of its feed; the
+    middle of the day's range stands for it. ``oversize`` names a market whose values do
+    not fit the target column."""
     e = _events(spark, sf_dir).filter(F.col("event_type") != "error")
     t = F.col("event_type")
     market = (F.when(t == "click", "SH").when(t == "view", "SZ").when(t == "purchase", "CYB")
               .otherwise("STAR"))
-    g = e.groupBy(market.alias("market"), F.col("ts").cast("date").cast("string").alias("c0")).agg(
-        F.max("value").alias("c1"), F.min("value").alias("c2"),
-        (F.max("value") - F.min("value")).alias("c3"),
-        F.round(F.median("value"), 4).alias("c4"))          # quoted to 4 places
-    return {m: g.filter(F.col("market") == m).drop("market") for m in ("SH", "SZ", "CYB", "STAR")}
+    hi, lo = F.max("value"), F.min("value")
+    g = e.groupBy(market.alias("market"), F.col("ts").cast("date").cast("string").alias("trade_date")).agg(
+        hi.alias("index_value"), lo.alias("pb"), (hi - lo).alias("pb_weighted"),
+        F.round((hi + lo) / 2, 4).alias("pb_median"))
+    if oversize is not None:
+        value = F.col("index_value")
+        g = g.withColumn("index_value", F.when(F.col("market") == oversize, value * 1e9).otherwise(value))
+    return g.select("trade_date", "index_value", "pb", "pb_weighted", "pb_median", "market")
+
+
+def code_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vendor's list of codes, an input of its own: some of the codes of the feeds, and
+    codes of a venue prefix (605) that no feed has."""
+    k = F.col("p_partkey") % 1200
+    venue = (F.when(k >= 1000, "605").when(k % 5 == 0, "600").when(k % 5 == 1, "000").when(k % 5 == 2, "688")
+             .when(k % 5 == 3, "301").otherwise("830"))
+    code = F.concat(venue, F.lpad((k % 1000).cast("string"), 3, "0"))
+    return scan_table(spark, sf_dir, "part").select(code.alias("code")).distinct()
+
+
+def _at(feed: DataFrame):
+    return F.floor(F.col("seq") / 1000), F.col("seq") % 1000
+
+
+def first_half(feed: DataFrame) -> DataFrame:
+    """The rows of every other day: what a target already holds."""
+    day, _ = _at(feed)
+    return feed.filter(day % 2 == 0)
+
+
+def second_half(feed: DataFrame) -> DataFrame:
+    """The other days, and of every tenth code some days again: the increment."""
+    day, k = _at(feed)
+    return feed.filter((day % 2 == 1) | ((day % 4 == 0) & (k % 10 == 3)))

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession, functions as F
 
-from ledgerframe.operators.tradeday import daily_trade_summary
 from ledgerframe.plans import portfolio as P
 from ledgerframe.plans import sectors as Z
 from ledgerframe.sources import bridge
@@ -29,10 +28,8 @@ SECTOR_VIEWS = ("stock_sector", "sector_mapping")
 
 def register_views(spark: SparkSession, sf_dir: str, prefix: str = "") -> list[str]:
     """Create or replace the temp views; returns their names."""
-    trades = bridge.trades(spark, sf_dir)
-    summary = daily_trade_summary(trades)
-    closeprices = bridge.closeprices_from_summary(summary)
-    calendar = bridge.calendar(spark, sf_dir)
+    m = bridge.market(spark, sf_dir)
+    trades, summary, closeprices, calendar = m.trades, m.summary, m.closeprices, m.calendar
     positions = P.net_positions(trades, calendar, summary)
     pl = P.daily_pl(positions, trades, calendar, closeprices, summary)
     frames = {

@@ -7,11 +7,13 @@ invalid value, NULL in NOT NULL column, over-long text).
 
 from __future__ import annotations
 
+import re
+
 from oracles.common import with_ctes
 
 TS = "TIMESTAMP '2025-01-01 00:00:00'"
 
-# (column, type, not_null, varchar length)
+# The target tables' columns (column, type, not_null, varchar length).
 VALUATION = [("symbol", "varchar", True, 10), ("trade_date", "date", True, None)] + [
     (c, "decimal(18,6)", False, None) for c in ("pe", "pe_ttm", "pb", "ps", "ps_ttm", "dv_ratio", "dv_ttm")
 ] + [("total_mv", "decimal(20,2)", False, None), ("update_time", "timestamp", True, None)]
@@ -54,17 +56,61 @@ def reasons(ddl, extra=()):
 
 
 def typed(ddl, alias=""):
-    """Output columns: decimals leave as DOUBLE (as the Spark side's comparable())."""
+    """Output columns: decimals leave at their scale and one width."""
     out = []
     for c, t, _, _ in ddl:
         e = f"cast({alias}{c} as {t})"
-        out.append(f"cast({e} as double) {c}" if t.startswith("decimal") else f"{e} {c}")
+        wide = "decimal(38," + t.split(",")[1] if t.startswith("decimal") else None
+        out.append(f"cast({e} as {wide}) {c}" if wide else f"{e} {c}")
     return ", ".join(out)
 
 
 _LISTED = """case when substr(code, 1, 3) in ('600', '601', '603', '605', '688', '689') then 'sh' || code
       when substr(code, 1, 3) in ('000', '001', '002', '003', '300', '301') then 'sz' || code end"""
 
+# Halves of a feed by day: what the target holds, and the increment (some days again).
+FIRST = "(seq // 1000) % 2 = 0"
+SECOND = "((seq // 1000) % 2 = 1 or ((seq // 1000) % 4 = 0 and seq % 10 = 3))"
+
+
+def _there(target, date):
+    return f"({{0}}.symbol, {{0}}.{date}) in (select symbol, {date} from {target})" if target else "false"
+
+
+def atomic(p, ddl, src, date, keep, target=None):
+    """CTEs p_k (rows with reasons), p_bad, p_why and p_ok of an all-or-nothing load per symbol."""
+    there = _there(target, date).format("x")
+    extra = [f"case when {date} is not null and count(*) over (partition by symbol, {date}) > 1 then 'duplicate_key' end",
+             f"case when {there} then 'key_in_target' end", "case when bad_date then 'unparsed_date' end"]
+    return {
+        f"{p}_k": f"select *, {reasons(ddl, extra)} reasons from (select * from {src} where {keep}) x",
+        f"{p}_bad": f"select symbol, count(*) bad_rows from {p}_k where reasons <> '' group by symbol",
+        f"{p}_why": f"""select symbol, string_agg(distinct r, ';' order by r) reasons
+          from (select symbol, unnest(string_split(reasons, ';')) r from {p}_k where reasons <> '') y group by symbol""",
+        f"{p}_ok": f"select * from {p}_k where symbol not in (select symbol from {p}_bad)",
+    }
+
+
+def batched(p, src, keep, size, target=None):
+    """CTEs p_b (rows with batch and verdict), p_first and p_ok of a load in batches per symbol."""
+    there = _there(target, "trade_date").format("x")
+    return {
+        f"{p}_b": f"""select *, (row_number() over (partition by symbol order by seq) - 1) // {size} batch,
+            (reasons <> '' or {there}
+             or row_number() over (partition by symbol, trade_date order by seq) > 1) bad
+          from (select * from {src} where {keep}) x""",
+        f"{p}_first": f"select symbol, min(batch) first_bad from {p}_b where bad group by symbol",
+        f"{p}_ok": f"""select {p}_b.* from {p}_b left join {p}_first using (symbol)
+          where first_bad is null or batch < first_bad""",
+    }
+
+
+def report(unit, offered, inserted):
+    return f"""select {unit}, cast(sum(o) as bigint) offered, cast(sum(i) as bigint) inserted,
+        cast(sum(o - i) as bigint) rejected
+      from (select {unit}, 1 o, 0 i from {offered} union all select {unit}, 0, 1 from {inserted}) z group by {unit}"""
+
+
 CTES = {
     "fb": """select event_id, ts, user_id, event_type, value, event_id % 1000 k,
         cast(floor(event_id / 1000) as integer) n from events""",
@@ -106,6 +152,7 @@ CTES = {
         (date is not null and try_cast(date as date) is null) bad_date,
         open, high, low, close, volume, amount, turnover, {TS} update_time
       from dfeed""",
+    "dkeep": "select * from dc where symbol is not null and (trade_date >= date '2010-01-01' or bad_date)",
     "dk": f"""select *, {reasons(DAILY, ["case when trade_date is not null and count(*) over (partition by symbol, trade_date) > 1 then 'duplicate_key' end",
                                           "case when bad_date then 'unparsed_date' end"])} reasons
       from dc where symbol is not null and (trade_date >= date '2010-01-01' or bad_date)""",
@@ -134,6 +181,7 @@ CTES = {
         round_even(try_cast(pcf as double), 4) pcf, round_even(try_cast(ps as double), 4) ps,
         {TS} update_time
       from cfeed""",
+    "ckeep": "select * from cc where symbol is not null",
     "ck": f"""select *, {reasons(CAP, ["case when data_date is not null and count(*) over (partition by symbol, data_date) > 1 then 'duplicate_key' end",
                                         "case when bad_date then 'unparsed_date' end"])} reasons
       from cc where symbol is not null""",
@@ -171,7 +219,7 @@ CTES = {
     "ix": """select case event_type when 'click' then 'SH' when 'view' then 'SZ' when 'purchase' then 'CYB'
           else 'STAR' end market,
         cast(cast(ts as date) as varchar) trade_date, max(value) index_value, min(value) pb,
-        max(value) - min(value) pb_weighted, round(median(value), 4) pb_median
+        max(value) - min(value) pb_weighted, round((max(value) + min(value)) / 2, 4) pb_median
       from events where event_type <> 'error' group by 1, 2""",
     "ixc": f"""select try_cast(trade_date as date) trade_date, market, index_value, pb, pb_weighted, pb_median,
         (trade_date is not null and try_cast(trade_date as date) is null) bad_date, {TS} update_time
@@ -197,11 +245,39 @@ CTES = {
         substr(o_orderpriority, 3) level3
       from orders where o_orderpriority <> '5-LOW'""",
 }
+CTES |= {
+    "codes": """select distinct concat(case when k >= 1000 then '605' when k % 5 = 0 then '600' when k % 5 = 1 then '000'
+          when k % 5 = 2 then '688' when k % 5 = 3 then '301' else '830' end,
+        lpad(cast(k % 1000 as varchar), 3, '0')) code
+      from (select p_partkey % 1200 k from part) pk""",
+    "vlist": "select * from vk where code in (select code from codes)",
+    **atomic("d1", DAILY, "dkeep", "trade_date", FIRST),
+    **atomic("d2", DAILY, "dkeep", "trade_date", SECOND, "d1_ok"),
+    **atomic("c1", CAP, "ckeep", "data_date", FIRST),
+    **atomic("c2", CAP, "ckeep", "data_date", SECOND, "c1_ok"),
+    **batched("v1", "vlist", FIRST, 1000),
+    **batched("v2", "vlist", SECOND, 2, "v1_ok"),
+    **batched("v3", "vk", "true", 2),
+    "dv1": f"""select * from dvk where reasons = '' and {FIRST} qualify row_number() over (
+        partition by symbol, ex_dividend_date order by report_date desc, seq desc) = 1""",
+    "dv2": f"""select * from dvk where reasons = '' and {SECOND} qualify row_number() over (
+        partition by symbol, ex_dividend_date order by report_date desc, seq desc) = 1""",
+    "dvm": """select * from dv2 union all
+      select * from dv1 where (symbol, ex_dividend_date) not in (select symbol, ex_dividend_date from dv2)""",
+    "ixbig": f"""select *, {reasons(INDEX)} reasons
+      from (select * replace (if(market = 'SZ', index_value * 1e9, index_value) as index_value) from ixc) x""",
+}
 ALL = list(CTES)
 
 
 def m(body, **extra):
-    return with_ctes(CTES, ALL, body, **extra)
+    """The statement with the CTEs that it needs, in order."""
+    text, need = " ".join([body, *extra.values()]), set()
+    for name in reversed(ALL):
+        if re.search(rf"\b{name}\b", text):
+            need.add(name)
+            text += " " + CTES[name]
+    return with_ctes(CTES, [n for n in ALL if n in need], body, **extra)
 
 
 ETL_SQL = {
@@ -211,7 +287,17 @@ ETL_SQL = {
         case when p.industry_code = 'UNK' then 'UNK' else coalesce(mp.level1, 'UNK') end sector,
         case when p.industry_code = 'UNK' then 'UNK' else coalesce(mp.level3, 'UNK') end industry
       from panel p left join mapping mp on mp.industry_code = p.industry_code"""),
-    "listed_codes": m(f"""select distinct code, {_LISTED} symbol from vf where {_LISTED} is not null"""),
+    "listed_codes": m(f"select code, {_LISTED} symbol from codes where {_LISTED} is not null"),
+    "listed_without_data": m(f"""select code from codes
+      where {_LISTED} is not null and code not in (select code from vf)"""),
+    "sector_change_conflicts": m("""select symbol, start_date, count(*) as rows, min(code) least_code,
+        max(code) greatest_code
+      from (select distinct cast(o_custkey % 50 as varchar) symbol, cast(o_orderdate as date) start_date,
+              o_orderpriority code from orders) x
+      group by symbol, start_date having count(*) > 1"""),
+    "sector_panel_wide": m("select date, " + ", ".join(
+        f"max(industry_code) filter (where symbol = '{k}') symbol_{k}" for k in (0, 1, 7, 13, 42))
+        + " from panel group by date"),
     "index_feed": m("select trade_date, index_value, pb, pb_weighted, pb_median, market from ix"),
     "ingest_index_valuation": m(f"""select {typed(INDEX)} from ixk
       where (select count(*) from ixk where reasons <> '') = 0"""),
@@ -222,9 +308,22 @@ ETL_SQL = {
       from vb join vfirst using (symbol) where vb.batch >= vfirst.first_bad group by symbol"""),
     "ingest_daily_bars": m(f"select {typed(DAILY)} from dk where symbol not in (select symbol from dbad)"),
     "daily_bar_failed_symbols": m("select symbol, bad_rows, reasons from dbad join dwhy using (symbol)"),
-    "daily_bar_load_report": m(f"""select symbol, count(*) offered,
-        symbol in (select symbol from dbad) failed
-      from (select {_LISTED} symbol from dfeed) x where symbol is not null group by symbol"""),
+    "daily_bar_load_report": m(report("symbol", "dk", "(select * from dk where symbol not in (select symbol from dbad))")),
+    "daily_bar_increment": m(f"select {typed(DAILY)} from d2_ok"),
+    "daily_bar_increment_failed_symbols": m("select symbol, bad_rows, reasons from d2_bad join d2_why using (symbol)"),
+    "share_capital_increment": m(f"select {typed(CAP)} from c2_ok"),
+    "share_capital_load_report": m(report("symbol", "ck", "(select * from ck where symbol not in (select symbol from cbad))")),
+    "valuation_increment": m(f"select {typed(VALUATION)} from v2_ok"),
+    "valuation_increment_failed_batches": m("""select symbol, min(first_bad) first_bad_batch,
+        count(*) filter (where batch >= first_bad) dropped_rows
+      from v2_b join v2_first using (symbol) group by symbol"""),
+    "valuation_load_report": m(report("symbol", "vk", "v3_ok")),
+    "dividend_merge": m(f"select {typed(DIVIDEND)} from dvm"),
+    "dividend_load_report": m(report("report_date", "dvk", "(select * from dvk where reasons = '')")),
+    "index_load_rejects": m("""select trade_date, market, cast(1 as bigint) bad_rows, reasons
+      from ixbig where reasons <> ''"""),
+    "index_load_report": m(report("market", "ixbig", """(select * from ixbig
+        where (select count(*) from ixbig where reasons <> '') = 0)""")),
     "ingest_share_capital": m(f"select {typed(CAP)} from ck where symbol not in (select symbol from cbad)"),
     "share_capital_failed_symbols": m("select symbol, bad_rows, reasons from cbad join cwhy using (symbol)"),
     "ingest_dividends": m(f"select {typed(DIVIDEND)} from dvwin"),

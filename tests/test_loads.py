@@ -56,7 +56,7 @@ def test_append_prefix_keeps_earlier_batches(spark):
     data[6] = (6, "a", D(2024, 1, 7), 99999.0)          # batch 2 (batch size 3) fails
     data += [(20, "b", D(2024, 1, 1), 1.0), (21, "b", D(2024, 1, 1), 1.0)]  # repeat in batch 0
     acc, failed = L.append_prefix(_rows(spark, data), None, CONTRACT, unit="symbol", order="seq",
-                                  batch_size=3, block=F.floor(F.col("seq") / 4))
+                                  batch_size=3, block_rows=4)
     assert rows(acc.select("symbol", "trade_date")) == [("a", D(2024, 1, 1) + dt.timedelta(days=i)) for i in range(6)]
     assert rows(failed) == [("a", 2, 4), ("b", 0, 2)]
 
@@ -76,8 +76,63 @@ def test_upsert_last_row_wins_and_null_key_rejected(spark):
 def test_full_refresh_is_all_or_nothing(spark):
     ok = _rows(spark, [(1, "a", D(2024, 1, 1), 1.0), (2, "b", D(2024, 1, 1), 1.0)])
     assert L.full_refresh_rows(ok, CONTRACT).count() == 2
-    dup = _rows(spark, [(1, "a", D(2024, 1, 1), 1.0), (2, "a", D(2024, 1, 1), 1.0)])
+    dup = _rows(spark, [(1, "a", D(2024, 1, 1), 1.0), (2, "a", D(2024, 1, 1), 1.0), (3, "b", D(2024, 1, 1), 1.0)])
     assert L.full_refresh_rows(dup, CONTRACT).count() == 0
+    assert rows(L.full_refresh_rejects(dup, CONTRACT)) == [("a", D(2024, 1, 1), 2, "duplicate_key")]
+    big = _rows(spark, [(1, "a", D(2024, 1, 1), 99999.0)])
+    assert rows(L.full_refresh_rejects(big, CONTRACT)) == [("a", D(2024, 1, 1), 1, "invalid:px")]
+
+
+def test_repeated_key_across_units(spark):
+    new = _rows(spark, [(1, "a", D(2024, 1, 1), 1.0), (2, "a", D(2024, 1, 1), 1.0), (3, "b", D(2024, 1, 2), 1.0)]) \
+        .withColumn("part", F.col("seq"))
+    acc, failed = L.append_atomic(new, None, CONTRACT, unit="part")
+    assert rows(acc.select("symbol")) == [("b",)]
+    assert rows(failed.select("part", "bad_rows", "reasons")) == [(1, 1, ["duplicate_key"]), (2, 1, ["duplicate_key"])]
+
+
+def test_prefix_load_into_an_existing_table(spark):
+    data = [(i, "a", D(2024, 1, 1) + dt.timedelta(days=i), 1.0) for i in range(10)]
+    target = _rows(spark, [(0, "a", D(2024, 1, 8), 1.0)]).drop("seq")     # collides with row 7, batch 3
+    acc, failed = L.append_prefix(_rows(spark, data), target, CONTRACT, unit="symbol", order="seq", batch_size=2,
+                                  block_rows=3, range_key="trade_date")
+    assert acc.count() == 6 and rows(failed) == [("a", 3, 4)]
+
+
+def test_upsert_joins_only_the_range_it_can_change(spark):
+    target = _rows(spark, [(0, "a", D(2020, 1, 1), 1.0), (0, "a", D(2024, 1, 1), 1.0), (0, "b", D(2024, 1, 2), 5.0)]) \
+        .drop("seq")
+    src = _rows(spark, [(1, "a", D(2024, 1, 1), 2.0), (2, "c", D(2024, 1, 3), 3.0)])
+    merged, _ = L.upsert(target, src, CONTRACT, seq="seq", range_key="trade_date")
+    assert [(s, d, float(p)) for s, d, p in rows(merged.select("symbol", "trade_date", "px"))] == [
+        ("a", D(2020, 1, 1), 1.0), ("a", D(2024, 1, 1), 2.0), ("b", D(2024, 1, 2), 5.0), ("c", D(2024, 1, 3), 3.0)]
+    none, _ = L.upsert(target, src.limit(0), CONTRACT, seq="seq", range_key="trade_date")
+    assert none.count() == 3
+
+
+def test_load_report_and_code_list(spark):
+    offered = spark.createDataFrame([("a",), ("a",), ("b",)], "symbol string")
+    got = rows(L.load_report(offered, offered.where("symbol = 'b'"), "symbol"))
+    assert got == [("a", 2, 0, 2), ("b", 1, 1, 0)]
+    codes = spark.createDataFrame([("1",), ("2",), ("2",)], "code string")
+    feed = spark.createDataFrame([("2", 5), ("3", 6)], "code string, v int")
+    assert rows(L.on_list(feed, codes)) == [("2", 5)] and rows(L.listed_without_data(codes, feed)) == [("1",)]
+
+
+def test_bad_index_date_raises_and_the_old_table_stays(spark, tmp_path):
+    import pytest
+    from ledgerframe.plans import etl as E
+    path, staging = str(tmp_path / "index"), str(tmp_path / "staging")
+    cols = "trade_date string, index_value double, pb double, pb_weighted double, pb_median double, market string"
+    good = spark.createDataFrame([("2024-01-02", 1.0, 1.0, 1.0, 1.0, "SH")], cols)
+    L.full_refresh(E.ingest_index_valuation(good), path, staging)
+    bad = good.union(spark.createDataFrame([("N/A", 1.0, 1.0, 1.0, 1.0, "SZ")], cols))
+    with pytest.raises(Exception, match="strict parsing failed"):
+        L.full_refresh(E.ingest_index_valuation(bad), path, staging)
+    assert spark.read.parquet(path).count() == 1
+    big = good.withColumn("index_value", F.lit(1e12))
+    L.full_refresh(E.ingest_index_valuation(big), path, staging)   # a failed insert leaves it empty
+    assert spark.read.parquet(path).count() == 0
 
 
 def test_empty_load(spark):

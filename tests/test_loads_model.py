@@ -78,10 +78,10 @@ def test_loads_match_row_by_row_model(spark):
     @hypothesis.given(loads, targets)
     def check(load, target):
         data, new, tgt = _frames(spark, load, target)
-        acc, _ = L.append_atomic(new, tgt, CONTRACT, unit="symbol", max_units=3)
+        acc, _ = L.append_atomic(new, tgt, CONTRACT, unit="symbol")
         assert {(r["symbol"], r["trade_date"]) for r in acc.collect()} == _model_atomic(data, target)
         acc, _ = L.append_prefix(new, tgt, CONTRACT, unit="symbol", order="seq", batch_size=2,
-                                 block=F.floor(F.col("seq") / 3), max_units=3)
+                                 block_rows=3)
         assert {(r["symbol"], r["trade_date"]) for r in acc.collect()} == _model_prefix(data, target, 2)
         merged, _ = L.upsert(tgt, new, CONTRACT, seq="seq")
         assert {(r["symbol"], r["trade_date"]): float(r["px"]) for r in merged.collect()} == \

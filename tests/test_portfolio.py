@@ -106,3 +106,44 @@ def test_empty_trades(spark):
     cal = _cal(spark, D(2024, 1, 1), D(2024, 1, 3))
     assert P.net_positions(t, cal).count() == 0
     assert P.trade_activity(cal, t).filter("no_trades = 0").count() == 3
+
+
+def test_sub_cent_prices_are_exact(spark):
+    # 100 shares bought at 10.1299, close 11.0000
+    t = spark.createDataFrame([(1, D(2024, 1, 3), "A", "Buy", 100, Decimal("10.1299"))],
+                              TRADES.replace("decimal(12,2)", "decimal(12,4)"))
+    cp = spark.createDataFrame([(D(2024, 1, 3), "A", Decimal("11.0000"), 1)],
+                               PRICES.replace("decimal(12,2)", "decimal(12,4)"))
+    assert P.trading_pnl(t, cp).first()["trading_pnl"] == Decimal("87.01")
+
+
+def test_notional_is_exact_at_any_scale_and_sign(spark):
+    from ledgerframe.operators.tradeday import daily_trade_summary
+    for kind in ("decimal(12,6)", "decimal(20,6)"):  # summed as integers, and as decimals
+        t = spark.createDataFrame(
+            [(i, D(2024, 1, 3), "A", "Sell" if i % 2 else "Buy", 10**5 + i, Decimal(999999 - i) / 10**6 + i)
+             for i in range(40)] + [(99, D(2024, 1, 4), "A", "Sell", 3, Decimal("0.000001"))],
+            TRADES.replace("decimal(12,2)", kind))
+        got = {r["tradedate"].day: r["signed_notional"] for r in daily_trade_summary(t).collect()}
+        want = sum((-1) ** i * (10**5 + i) * (Decimal(999999 - i) / 10**6 + i) for i in range(40))
+        assert got == {3: want, 4: Decimal("-0.000003")}
+
+
+def test_prices_must_be_decimal(spark):
+    import pytest
+    from ledgerframe.operators.tradeday import daily_trade_summary
+    t = spark.createDataFrame([], TRADES.replace("decimal(12,2)", "double"))
+    with pytest.raises(TypeError):
+        daily_trade_summary(t)
+
+
+def test_prices_without_trades_and_days_without_trades(spark):
+    t = spark.createDataFrame([(1, D(2024, 1, 2), "A", "Buy", 5, Decimal("1.00"))], TRADES)
+    cp = spark.createDataFrame([(D(2024, 1, 2), "A", Decimal("1.00"), 1), (D(2024, 1, 2), "B", Decimal("2.00"), 1),
+                                (D(2024, 1, 3), "A", Decimal("3.00"), 1)], PRICES)
+    cal = _cal(spark, D(2024, 1, 2), D(2024, 1, 3))
+    got = rows(P.calendar_prices_trades(cal, cp, t).select("closedate", "closeprice", "orderid")
+               .fillna({"orderid": -1}))
+    assert got == [(D(2024, 1, 2), Decimal("1.00"), 1), (D(2024, 1, 2), Decimal("2.00"), -1),
+                   (D(2024, 1, 3), Decimal("3.00"), -1)]
+    assert rows(P.trade_activity(cal, t)) == [(D(2024, 1, 2), 1, 5), (D(2024, 1, 3), 0, 0)]

@@ -83,3 +83,16 @@ def test_self_titled_and_top_playlist(spark):
     s = _store(spark)
     assert rows(M.self_titled_albums(s).select("albumid")) == [(10,)]
     assert M.largest_playlist(s).first()["playlistid"] == 8
+
+
+def test_conflicting_changes_raise_and_are_listed(spark):
+    import pytest
+    changes = _changes(spark).union(spark.createDataFrame([("s1", D(2024, 1, 5), "Z")], _changes(spark).schema))
+    assert rows(Z.change_conflicts(changes)) == [("s1", D(2024, 1, 5), 2, "Y", "Z")]
+    with pytest.raises(Exception, match="not unique: symbol s1 on 2024-01-05"):
+        Z.sector_code_panel(changes, end="2024-01-06").collect()
+
+
+def test_rep_efficiency_counts_customers_once(spark):
+    got = rows(M.rep_efficiency(_store(spark)))
+    assert got == [("N", "F", 1, Decimal("12.00"), 12.0)]

@@ -22,8 +22,9 @@ def _frame(spark, data):
 def test_full_refresh_and_materialise(spark):
     base = tempfile.mkdtemp(prefix="ledgerframe-sink-")
     path = os.path.join(base, "t")
-    L.full_refresh(_frame(spark, [(1, "a", D(2024, 1, 1), 1.0)]), path)
-    L.full_refresh(_frame(spark, [(2, "b", D(2024, 1, 2), 2.0)]), path)   # replaces, not appends
+    staging = os.path.join(base, "staging")
+    L.full_refresh(_frame(spark, [(1, "a", D(2024, 1, 1), 1.0)]), path, staging)
+    L.full_refresh(_frame(spark, [(2, "b", D(2024, 1, 2), 2.0)]), path, staging)   # replaces, not appends
     assert rows(spark.read.parquet(path).select("symbol")) == [("b",)]
     m = L.materialise(_frame(spark, [(3, "c", D(2024, 1, 3), 3.0)]), os.path.join(base, "m"))
     assert rows(m.select("seq")) == [(3,)]
@@ -36,13 +37,11 @@ def test_merge_into_path_rewrites_touched_partitions_only(spark):
               .withColumn("px", F.col("px").cast("decimal(6,2)")))        # stored in contract types
     target.withColumn("ym", F.date_format("trade_date", "yyyy-MM")).write \
         .partitionBy("ym").parquet(path)
-    current = spark.read.parquet(path)
-    src = _frame(spark, [(1, "a", D(2024, 1, 1), 2.0), (2, "c", D(2024, 1, 5), 3.0)])
-    touched = src.select(F.date_format("trade_date", "yyyy-MM").alias("ym")).distinct()
-    in_scope = current.join(touched, "ym", "left_semi").drop("ym")
-    merged, rejects = L.upsert(in_scope, src, CONTRACT, seq="seq")
-    assert rejects.count() == 0
-    L.merge_into_path(spark, path, merged.withColumn("ym", F.date_format("trade_date", "yyyy-MM")), "ym", staging)
+    before = os.path.getmtime(os.path.join(path, "ym=2024-02"))
+    src = _frame(spark, [(1, "a", D(2024, 1, 1), 2.0), (2, "c", D(2024, 1, 5), 3.0), (3, "c", None, 3.0)])
+    rejects = L.merge_into_path(spark, path, src, CONTRACT, "seq", F.date_format("trade_date", "yyyy-MM").alias("ym"), staging)
+    assert rows(rejects.select("seq", "reason")) == [(3, "null:trade_date")]
+    assert os.path.getmtime(os.path.join(path, "ym=2024-02")) == before
     out = rows(spark.read.parquet(path).select("symbol", "trade_date", "px"))
     assert out == [("a", D(2024, 1, 1), 2.0), ("b", D(2024, 2, 1), 5.0), ("c", D(2024, 1, 5), 3.0)]
 
