@@ -5,13 +5,9 @@ from __future__ import annotations
 import tempfile
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words remembered per Python worker; the memo is emptied when it is full.
-MEMO_WORDS = 400_000
-
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -43,23 +39,30 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-class WordHash(dict):
-    """Word (bytes) -> 64-bit hash, computed once per distinct word while it is remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[list(b" \t\n\r\x0b\x0c")] = True
+_WEIGHTS = np.random.default_rng(2024).integers(0, 1 << 63, 4096, np.uint64) * np.uint64(2) + np.uint64(1)
 
-def ascii_words(text: str | None) -> list[bytes]:
-    """Words between ASCII white space, A-Z lower-cased, as UTF-8 bytes (null: none)."""
-    return text.encode().lower().split() if text else []
 
+def word_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash of each word between ASCII white space, with A-Z lower-cased (null: none).
 
-def hashed(words: list[bytes], memo: WordHash) -> np.ndarray:
-    return np.fromiter(map(memo.__getitem__, words), dtype=np.uint64, count=len(words))
+    A word's bytes are weighted by their places in it and summed, for all words at once.
+    """
+    if not text:
+        return np.empty(0, np.uint64)
+    data = np.frombuffer(text.encode().lower(), np.uint8)
+    space = np.concatenate([[True], _IS_SPACE[data], [True]])
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    first, size = edges[::2], edges[1::2] - edges[::2]
+    if not len(first):
+        return np.empty(0, np.uint64)
+    inside = np.flatnonzero(~space[1:-1])
+    begin = np.cumsum(size) - size  # of each word among the bytes of all words
+    place = np.arange(len(inside)) - np.repeat(begin, size)
+    weight = _WEIGHTS[place & 4095] + (place >> 12).astype(np.uint64) * _MULT
+    return mix(np.add.reduceat((data[inside].astype(np.uint64) + np.uint64(1)) * weight, begin)
+               + size.astype(np.uint64) * _MULT)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

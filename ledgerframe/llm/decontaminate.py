@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerframe.llm.common import BitTable, WordHash, ascii_words, cut, hashed, shingles
+from ledgerframe.llm.common import BitTable, cut, shingles, word_hashes
 
 SEED_WORDS = 4
 MIN_ITEM_WORDS = 8
@@ -41,9 +41,8 @@ def item_grams(items: DataFrame, id_col: str = "item_id", text_col: str = "text"
     id_type = items.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = WordHash()
         for batch in batches:
-            words = [hashed(ascii_words(t), memo) for t in batch["t"]]
+            words = [word_hashes(t) for t in batch["t"]]
             grams = [shingles(w, SEED_WORDS).view(np.int64) for w in words]
             yield pd.DataFrame({"item": batch["i"], "words": [w.view(np.int64) for w in words], "grams": grams})
 
@@ -64,11 +63,10 @@ def _places(docs: DataFrame, id_col: str, text_col: str, table: BitTable, around
     schema = f"doc {id_type}, base int, words array<long>, grams array<long>, at array<int>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = WordHash()
         for batch in batches:
             out = []
             for doc, text in zip(batch["i"], batch["t"]):
-                words = hashed(ascii_words(text), memo)
+                words = word_hashes(text)
                 grams = shingles(words, SEED_WORDS)
                 hit = np.flatnonzero(table.has(grams))
                 if not len(hit):

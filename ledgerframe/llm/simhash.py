@@ -158,7 +158,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_linked = linked.join(least, "root").select("fp", "least")
     classes = (distinct.join(of_linked, "fp", "left")
                .select("fp", F.coalesce("least", "first").alias("component_id")))
-    return of_doc.join(classes, "fp").select(id_col, "fp", "component_id")
+    # a written table, so that the join is one of two plain sides and Spark can split a hot fingerprint
+    return of_doc.join(cut(classes), "fp").select(id_col, "fp", "component_id")
 
 
 def hex_fingerprint(fp: Column) -> Column:
