@@ -73,23 +73,26 @@ QUERIES = {
 
 #: The distinct-site rule of operator 9, counted exactly.
 _LINE_SPREAD_SQL = f"""
-with lines as (
-    select doc_id, coalesce('=' || source, '') as site, text,
-           trim(unnest(string_split(text, chr(10))), ' ' || chr(9) || chr(13) || chr(11) || chr(12)) as line
-    from documents),
+with docs as (
+    select row_number() over () as r, doc_id, coalesce('=' || source, '') as site, text from documents),
+cut as (
+    select r, site, unnest(string_split(text, chr(10))) as raw,
+           generate_subscripts(string_split(text, chr(10)), 1) as pos
+    from docs),
+lines as (select *, trim(raw, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) as line from cut),
 wide as (
     select line from lines where line <> '' group by line
     having count(distinct site) >= {line_spread.MIN_SITES}),
-marked as (
-    select *, list_filter(string_split(text, chr(10)), x -> not list_contains(
-        (select coalesce(list(line), []) from wide), trim(x, ' ' || chr(9) || chr(13) || chr(11) || chr(12)))) as rest
-    from documents),
-cleaned as (select *, len(string_split(text, chr(10))) - len(rest) as n,
-                   array_to_string(rest, chr(10)) as less from marked)
-select doc_id,
-       case when n > 0 and length(less) >= {1 - line_spread.MAX_SHARE} * length(text) then n else 0 end as removed_lines,
-       case when n > 0 and length(less) >= {1 - line_spread.MAX_SHARE} * length(text) then less else text end as clean_text
-from cleaned
+marked as (select lines.*, wide.line is not null as goes from lines left join wide using (line)),
+less as (
+    select r, coalesce(string_agg(raw, chr(10) order by pos) filter (where not goes), '') as rest,
+           count(*) filter (where goes) as n
+    from marked group by r),
+judged as (
+    select doc_id, text, rest, n,
+           coalesce(n > 0 and length(rest) >= {1 - line_spread.MAX_SHARE} * length(text), false) as partly
+    from docs left join less using (r))
+select doc_id, if(partly, n, 0) as removed_lines, if(partly, rest, text) as clean_text from judged
 """
 
 ORACLES = {"op9_line_spread": _LINE_SPREAD_SQL}
