@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +13,21 @@ from pyspark.sql import functions as F
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Puts this library's folder on the Python workers' path, wherever the driver was started.
+
+    On a cluster without that folder this does nothing; the package is shipped as usual.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder; read by Spark alone, so any store will do."""
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -22,6 +37,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a scratch folder; a cluster session
     without it is an error.
     """
+    let_workers_import(spark)
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if folder is None:
@@ -39,6 +55,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``cut``, as a compressed table in the shared folder, for rows that are many."""
+    path = f"{checkpoint_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(b" \t\n\r\x0b\x0c")] = True
 _WEIGHTS = np.random.default_rng(2024).integers(0, 1 << 63, 4096, np.uint64) * np.uint64(2) + np.uint64(1)
