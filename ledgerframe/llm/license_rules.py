@@ -6,9 +6,8 @@ identifiers is then matched against ordered rules: at each place the first rule
 whole sequence follows is taken, so longer and more specific rules come first. What no
 rule takes is reported as an unmatched identifier.
 
-Lines of a wrapped sentence are put together again: from each line or sentence on, up to
-``MAX_LINES`` pieces are joined as long as they may be a known sentence, and the longest
-known one counts. Comment marks at the start of lines drop out in the normalisation.
+Lines of a wrapped sentence are put together again: from each line or sentence on, pieces
+are joined as long as they may be a known sentence, and the longest known one counts. Comment marks at the start of lines drop out in the normalisation.
 
 Every known sentence holds one of ``TRIGGERS``, so a text without any has no licence
 sentence and isn't cut up.
@@ -27,8 +26,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LINES = 12
-
 #: Known licence sentences by identifier, normalised.
 SENTENCES = {
     "apache_short": "licensed under the apache license version 2 0",
@@ -122,6 +119,8 @@ TRIGGERS = ("licens", "copyright", "permission", "warrant", "liable", "redistrib
 
 _BY_SENTENCE = {tuple(s.split()): k for k, s in SENTENCES.items()}
 _MOST_WORDS = max(map(len, _BY_SENTENCE))
+#: A known sentence stands on at most as many lines as it has words.
+MAX_LINES = _MOST_WORDS
 _STARTS = {s[:n] for s in _BY_SENTENCE for n in range(1, len(s) + 1)}
 _WORD = re.compile(r"[^\W_]+")
 _PIECE = re.compile(r"[^\n]+?(?:[.!?;:]+(?=\s|$)|(?=\n)|$)")
@@ -141,7 +140,7 @@ def sentence_ids(text: str | None) -> list[str]:
     out, at = [], 0
     while at < len(pieces):
         joined, best, taken = (), None, 1
-        for k in range(at, min(len(pieces), at + MAX_LINES)):
+        for k in range(at, len(pieces)):  # ends where the words begin no known sentence
             joined += pieces[k]
             if joined not in _STARTS:
                 break

@@ -88,3 +88,11 @@ def test_defined_cases(spark, edge_docs, clashing_docs, no_docs, rows_of):
     long_text = "x y z.\n" * 100_000 + "Released under the MIT License."
     out = L.report(spark.createDataFrame([(1, long_text, "en", "s", 0)], no_docs.schema)).first()
     assert out["licences"] == "MIT"
+
+
+def test_sentences_wrapped_into_any_number_of_lines():
+    for name, sentence in L.SENTENCES.items():
+        w = sentence.split()
+        for size in (1, 3, 5):  # words on a line of a narrow comment column
+            text = "".join(f" * {' '.join(w[k:k + size])}\n" for k in range(0, len(w), size))
+            assert L.sentence_ids(text) == [name], (name, size)
