@@ -4,12 +4,16 @@ Seeds are what the base expressions find: e-mail addresses, IP addresses, paymen
 that pass the Luhn check, and phone numbers. The words around the seeds induce lexical
 patterns (one or two words to the left, or one on either side). Patterns and instances
 form a graph: a pattern is as trustworthy as the share of its distinct instances that
-are known to be of one kind, and an unseen identifier as the patterns around it that are
-trusted, taken together. Spark scores both in turn for ``ROUNDS`` rounds; identifiers
-that pass ``MIN_INSTANCE`` join the known ones and support further patterns.
+are known to be of one kind, of those that are known or dropped; unseen ones count
+``UNSEEN_WEIGHT`` each, as they are what the pattern is to find. An unseen identifier is
+as trustworthy as the patterns around it that are trusted, taken together. Spark scores
+both in turn until no new identifier passes ``MIN_INSTANCE``; those that pass join the
+known ones for good and support further patterns.
 
 An unseen identifier is a token with at least ``MIN_DIGITS`` digits outside all base
-matches. What a base expression matched but its check dropped counts against a pattern.
+matches, or several short groups of capitals and digits with a space between. What a base
+expression matched but its check dropped counts against a pattern, unless it is the rest
+of such groups that begin with a letter.
 
 Defined cases: a null text is an empty one; whole texts are read, in time linear in their
 length; a text's spans are found once per distinct text, so copies and rows with repeated
@@ -29,10 +33,11 @@ from pyspark.sql import functions as F
 from ledgerframe.llm.common import cut
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
 MIN_PATTERN = 0.8
 MIN_SUPPORT = 3
 MIN_INSTANCE = 0.9
+#: An unseen instance's share of one that is known or dropped.
+UNSEEN_WEIGHT = 0.1
 MIN_DIGITS = 4
 MIN_LENGTH = 6
 _CONTEXT = 64
@@ -46,6 +51,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9@._+/-]*")
 _TOKEN_CHAR = re.compile(r"[A-Za-z0-9@._+/-]")
+_GROUPS = re.compile(r"(?<![A-Za-z0-9@._+/-])[A-Z0-9]{2,5}(?:\x20[A-Z0-9]{2,5})+(?![A-Za-z0-9@+/-])")
 _WORD = re.compile(r"[^\s]+")
 
 
@@ -92,9 +98,34 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
     return found, dropped
 
 
+def grouped(text: str) -> list[tuple[int, int]]:
+    """Identifiers written in groups: neighbouring groups that each hold a digit."""
+    out = []
+    for m in _GROUPS.finditer(text) if _DIGIT.search(text) else ():
+        run, at = [], m.start()
+        for group in [*m[0].split(" "), ""]:
+            if _DIGIT.search(group):
+                run.append((at, at + len(group)))
+            else:
+                if len(run) > 1 and sum(c in "0123456789" for c in text[run[0][0]:run[-1][1]]) >= MIN_DIGITS:
+                    out.append((run[0][0], run[-1][1]))
+                run = []
+            at += len(group) + 1
+    return out
+
+
 def candidates(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Identifier-like tokens that don't overlap the spans in ``taken``."""
-    out, taken, k, at = [], sorted(taken), 0, 0
+    spaced, ends = [], -1
+    for kind, start, end in sorted([(0, a, b) for a, b in taken] + [(1, a, b) for a, b in grouped(text)],
+                                   key=lambda x: x[1:]):
+        if kind and start >= ends:
+            spaced.append((start, end))
+        if kind == 0:
+            while spaced and spaced[-1][1] > start:
+                spaced.pop()
+            ends = max(ends, end)
+    out, taken, k, at = [], sorted([*taken, *spaced]), 0, 0
     upto = 0  # furthest end of the taken spans passed
     while m := _DIGIT.search(text, at):
         start = m.start()
@@ -109,7 +140,7 @@ def candidates(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]
         if start >= upto and end - start >= MIN_LENGTH \
                 and sum(c in "0123456789" for c in text[start:end]) >= MIN_DIGITS:
             out.append((start, end))
-    return out
+    return sorted(out + spaced)
 
 
 def patterns(text: str, start: int, end: int) -> list[str]:
@@ -139,6 +170,9 @@ def mentions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for text in batch["t"]:
                 text = text or ""
                 found, dropped = base_spans(text)
+                # a match that is the rest of groups beginning with a letter is none of its own
+                whole = [g for g in grouped(text) if text[g[0]].isalpha()] if dropped else []
+                dropped = [d for d in dropped if not any(a < d[0] and d[1] <= b for a, b in whole)]
                 rest = candidates(text, [s[1:] for s in found] + dropped)
                 base.append([{"kind": k, "start": a, "stop": b} for k, a, b in found])
                 seen.append([{"kind": k, "start": a, "stop": b, "surface": text[a:b], "patterns": patterns(text, a, b)}
@@ -160,24 +194,36 @@ def discovered(seen: DataFrame) -> DataFrame:
     known = instances.where("kind >= 0").withColumn("trust", F.lit(1.0))
     unseen = instances.where("kind = -2").select("surface").join(
         instances.where("kind != -2").select("surface"), "surface", "left_anti")
-    size = cut(edges.groupBy("pattern").agg(F.count_distinct("surface").alias("size"))
-               .where(F.col("size") >= MIN_SUPPORT))
+    weight = F.when(F.max("kind") == -2, F.lit(UNSEEN_WEIGHT)).otherwise(F.lit(1.0))
+    weights = instances.groupBy("surface").agg(weight.alias("weight"))
+    size = cut(edges.select("pattern", "surface").distinct().join(weights, "surface").groupBy("pattern")
+               .agg(F.count("*").alias("n"), F.sum("weight").alias("size"))
+               .where(F.col("n") >= MIN_SUPPORT).drop("n"))
     reach = cut(edges.join(unseen, "surface", "left_semi").select("pattern", "surface")
                 .join(size.select("pattern"), "pattern", "left_semi"))
     links = cut(edges.select("pattern", "surface").distinct()
                 .join(size.select("pattern"), "pattern", "left_semi"))
-    found = known.where("false").select("surface", "kind", "trust")
-    for _ in range(ROUNDS):
+    found, n_found = known.where("false").select("surface", "kind", "trust"), 0
+    while True:
+        # an identifier found before is one that is known
+        more = (reach.join(found, "surface").groupBy("pattern").agg(F.count("*").alias("more")))
+        sizes = size.join(more, "pattern", "left").select(
+            "pattern", (F.col("size") + F.coalesce("more", F.lit(0)) * (1 - UNSEEN_WEIGHT)).alias("size"))
         trusted = (links.join(known.unionByName(found), "surface")
                    .groupBy("pattern", "kind").agg(F.sum("trust").alias("right"), F.count("*").alias("support"))
-                   .join(size, "pattern").withColumn("trust", F.col("right") / F.col("size"))
+                   .join(sizes, "pattern").withColumn("trust", F.col("right") / F.col("size"))
                    .where((F.col("support") >= MIN_SUPPORT) & (F.col("trust") >= MIN_PATTERN)))
         scored = (reach.join(trusted.select("pattern", "kind", "trust"), "pattern")
+                  .join(found.select("surface"), "surface", "left_anti")
                   .groupBy("surface", "kind")
                   .agg((1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.99)))))).alias("trust")))
         best = (scored.groupBy("surface").agg(F.max(F.struct("trust", (-F.col("kind")).alias("k"))).alias("x"))
                 .select("surface", (-F.col("x.k")).alias("kind"), F.col("x.trust").alias("trust")))
-        found = cut(best.where(F.col("trust") >= MIN_INSTANCE))
+        found = cut(found.unionByName(best.where(F.col("trust") >= MIN_INSTANCE)))
+        now = found.count()
+        if now == n_found:
+            break
+        n_found = now
     return found.select("surface", "kind")
 
 

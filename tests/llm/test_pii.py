@@ -103,3 +103,33 @@ def test_defined_cases(edge_docs, edge_rows, clashing_docs, no_docs, spark, rows
     assert got == sorted(expected, key=str)
     assert rows_of(P.digest(clashing_docs)) == rows_of(P.digest(edge_docs))
     assert P.digest(no_docs).collect() == []
+
+
+def test_contexts_where_a_quarter_to_half_is_unseen(spark, no_docs):
+    rng = random.Random(8)
+    for seeds, unseen in ((30, 10), (30, 30)):
+        rows = [(i, f"{words(rng, 5)} reach me +1 (456) 555-{1000 + i} today. {words(rng, 5)}", "en", "s", 0)
+                for i in range(seeds)]
+        rows += [(100 + i, f"{words(rng, 5)} reach me 0456-555-{1000 + i} today. {words(rng, 5)}", "en", "s", 0)
+                 for i in range(unseen)]
+        out = {r["doc_id"]: r["spans"] for r in P.digest(spark.createDataFrame(rows, no_docs.schema)).collect()}
+        for doc, text, *_ in rows[seeds:]:
+            at = text.index("0456-")
+            assert out[doc] == f"phone:{at}:{at + 13}"
+
+
+def test_rounds_go_on_until_nothing_new_is_found(spark):
+    # each context holds identifiers of the one before and a few that only it reaches
+    seen = [(3, f"seed{k}", f"p0{side}") for k in range(5) for side in "ab"]
+    for step in range(6):
+        names = [f"id{step}-{k}" for k in range(5)]
+        seen += [(-2, name, p + side) for name in names for p in (f"p{step}", f"p{step + 1}") for side in "ab"]
+    got = {r["surface"] for r in P.discovered(spark.createDataFrame(seen, "kind int, surface string, pattern string")).collect()}
+    assert got == {s for k, s, _ in seen if k == -2}
+
+
+def test_identifiers_in_groups_are_candidates():
+    text = "transfer to DE89 3704 0044 0532 0130 00 please"
+    at = text.index("DE89")
+    assert P.grouped(text) == [(at, at + 27)] == P.candidates(text, [])
+    assert P.candidates("ref AB12 3456 on 4 MAY", []) == [(4, 13)]
