@@ -1,10 +1,10 @@
 """Toxicity by weak supervision (operator 7).
 
-1. Many voters look at a text: a lexicon mined from the labelled training rows, cut by
+1. Many voters look at a text: a lexicon mined from all labelled training rows, cut by
    reliability into ``LEXICON_VOTERS`` voters, a small general insult lexicon, and text
    patterns. A text's votes are one bit each of a mask.
 2. A generative label model is fitted on the counts of all documents' masks, with the
-   labelled training rows as anchors of the same total weight. It estimates each voter's accuracy, and which
+   labelled training rows, all of them, as anchors of the same total weight. It estimates each voter's accuracy, and which
    voters are correlated given the label: a maximum spanning tree over the voters'
    conditional mutual information, with a table for each dependent pair.
 3. A linear classifier (logistic regression) is trained on the posterior labels of a
@@ -37,10 +37,12 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerframe.llm.common import cut
+from ledgerframe.llm.common import BitTable, cut
 
-#: Rows of labelled text that lexicons and classifier are fitted on, on average at most.
+#: Rows of labelled text that the classifier is fitted on, on average at most.
 FIT_ROWS = 20_000
+#: log2 of the bits in the table of labelled ids.
+TABLE_BITS = 26
 LEXICON_TERMS = 256
 LEXICON_VOTERS = 8
 MIN_TOXIC_ROWS = 3
@@ -125,19 +127,20 @@ def look(text: str | None, lexicon: Lexicon) -> tuple[int, list[int]]:
     return bits, hits
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
-                  fit_rows: int = FIT_ROWS) -> DataFrame:
-    """``(y, t)``: labelled rows that are not held out, sampled by a hash of the id.
-
-    The sample is bounded by ``fit_rows`` on average, so its labels may be broadcast.
-    """
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(y, t, place)``: all labelled rows that are not held out; place is a hash of the id in 0..1."""
     usable = (labels.where(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
               .groupBy(F.col(id_col).alias("_id")).agg(F.max("toxic").alias("y")))
-    share = min(1.0, fit_rows / max(1, usable.count()))
+    table = BitTable(usable.select(F.xxhash64(F.col("_id").cast(docs.schema[id_col].dataType)).alias("h")), "h", TABLE_BITS)
+
+    @F.pandas_udf("boolean")
+    def named(h: pd.Series) -> pd.Series:
+        return pd.Series(table.has(h.to_numpy(np.int64).view(np.uint64)))
+
+    # texts without a label stay out of the join
+    some = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("t")).where(named(F.xxhash64("_id")))
     place = F.pmod(F.xxhash64(F.lit("fit"), "_id"), F.lit(1 << 30)) / (1 << 30)
-    some = usable.where(place < share)
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("t")) \
-        .join(F.broadcast(some), "_id").select("y", "t")
+    return some.join(usable, "_id").select("y", "t", place.alias("place"))
 
 
 def mine_lexicon(rows: DataFrame, size: int = LEXICON_TERMS) -> list[str]:
@@ -171,14 +174,17 @@ def mine_lexicon(rows: DataFrame, size: int = LEXICON_TERMS) -> list[str]:
     rest = [r for r in best if r["evidence"] < EVIDENCE]
     lexicon = Lexicon([r["term"] for r in best])
 
+    known = {lexicon[t] for t in taken}
+    wanted = {lexicon[r["term"]] for r in rest}
+
     def toxic_hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"hits": [look(t, lexicon)[1] for t in batch["t"]]})
+            hits = [set(look(t, lexicon)[1]) for t in batch["t"]]
+            found = [sorted(h & wanted) for h in hits if h & wanted and not h & known]
+            yield pd.DataFrame({"hits": pd.Series(found, dtype=object)})
 
-    # the toxic rows of the bounded sample, each as a few numbers
-    known = {lexicon[t] for t in taken}
+    # rows that only rare terms mark, as a few numbers: each term has few, or chance could not explain it
     bare = [set(r["hits"]) for r in rows.where("y = 1").mapInPandas(toxic_hits, "hits array<int>").collect()]
-    bare = [h for h in bare if h and not h & known]
     while rest and len(taken) < size:
         held = Counter(rank for h in bare for rank in h)
         gain, term = max((held[lexicon[r["term"]]] / (1.0 + r["b"]), r["term"]) for r in rest)
@@ -302,7 +308,7 @@ class ToxicityModel:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         fit_rows: int = FIT_ROWS) -> ToxicityModel:
     """Mines lexicons, fits the label model on all documents' votes, trains the classifier."""
-    rows = training_rows(docs, labels, id_col, text_col, fit_rows)
+    rows = cut(training_rows(docs, labels, id_col, text_col))
     terms = mine_lexicon(rows)
     lexicon = Lexicon(terms)
     general = np.zeros(len(terms) + len(VOTERS))
@@ -314,11 +320,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             seen = [look(t, lexicon) for t in batch["t"]]
-            yield pd.DataFrame({"y": batch["y"], "mask": [m for m, _ in seen], "hits": [h for _, h in seen]})
+            yield pd.DataFrame({"y": batch["y"], "place": batch["place"], "mask": [m for m, _ in seen],
+                                "hits": [h for _, h in seen]})
 
-    schema = "y int, mask int, hits array<int>"
+    schema = "y int, place double, mask int, hits array<int>"
     fitted = cut(rows.mapInPandas(vote, schema))
-    everywhere = docs.select(F.lit(-1).alias("y"), F.col(text_col).alias("t")).mapInPandas(vote, schema)
+    everywhere = docs.select(F.lit(-1).alias("y"), F.lit(0.0).alias("place"), F.col(text_col).alias("t")) \
+        .mapInPandas(vote, schema)
     counts = fitted.groupBy("y", "mask").agg(F.count("*").alias("n")).unionByName(
         everywhere.groupBy("y", "mask").agg(F.count("*").alias("n"))).toPandas()
     model = fit_label_model(counts["mask"].to_numpy(), counts["y"].to_numpy(), counts["n"].to_numpy(float))
@@ -335,7 +343,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                           lambda k: F.array_contains("hits", k.cast("int")).cast("double"))
     voted = F.array(*[F.shiftright("mask", v).bitwiseAND(F.lit(1)).cast("double") for v in range(len(VOTERS))])
     # a posterior label is a row of each label, weighted
-    train = (fitted.join(F.broadcast(posterior), ["y", "mask"])  # at most 2 ** (voters + 1) rows
+    share = min(1.0, fit_rows / max(1, fitted.count()))
+    train = (fitted.where(F.col("place") < share).join(F.broadcast(posterior), ["y", "mask"])  # at most 2 ** (voters + 1) rows
              .select(array_to_vector(F.concat(lexical, voted)).alias("features"), "p")
              .select("features", F.explode(F.array(
                  F.struct(F.lit(1.0).alias("label"), F.col("p").alias("weight")),

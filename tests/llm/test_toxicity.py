@@ -111,3 +111,23 @@ def test_toxic_documents_go(spark, no_docs):
     docs = spark.createDataFrame(rows, no_docs.schema)
     kept = {r["doc_id"] for r in T.keep_clean(docs, T.fit(docs, spark.createDataFrame(labels, LABELS))).collect()}
     assert len(kept & set(range(0, 1200, 5))) < 12 and len(set(range(1200)) - set(range(0, 1200, 5)) - kept) < 12
+
+
+def test_statistics_come_from_all_labelled_rows(spark, no_docs, monkeypatch):
+    rng = random.Random(9)
+    rows, labels = corpus()
+    rare = [i for i in range(0, 1200, 5) if not is_held_out(i)][:8]
+    for i in rare:  # toxic rows that only one rare word marks
+        rows[i] = (i, words(rng, 60, 1500) + " zwyrotny", "en", "s", 0)
+    labels = [(r[0], 0, int(r[0] % 5 == 0)) for r in rows]
+    anchors = []
+    fit_label_model = T.fit_label_model
+
+    def noted(masks, known, counts, *more):
+        anchors.append(counts[known >= 0].sum())
+        return fit_label_model(masks, known, counts, *more)
+
+    monkeypatch.setattr(T, "fit_label_model", noted)
+    model = T.fit(spark.createDataFrame(rows, no_docs.schema), spark.createDataFrame(labels, LABELS), fit_rows=200)
+    assert {"zwyrotny", "zwyr*", "zwyro*"} & set(model.lexicon)
+    assert anchors == [sum(not is_held_out(r[0]) for r in rows)]
