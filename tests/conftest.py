@@ -15,9 +15,3 @@ def spark():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerframe-test-ckpt-"))
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Sorted list of tuples (order-insensitive comparisons)."""
-    cols = cols or df.columns
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, StringType, StructField, StructType, TimestampType
 
-from conftest import rows
+from suite_helpers import rows
 from ledgerframe.functions import cleaning as C
 from ledgerframe.operators import loads as L
 from ledgerframe.operators.contract import Contract, split_contract

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import Window, functions as F
 
-from conftest import rows
+from suite_helpers import rows
 from ledgerframe.operators.ordered import global_lags, global_row_index, running_max, running_sum
 
 

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from suite_helpers import rows
 from ledgerframe.plans import portfolio as P
 from ledgerframe.plans import risk as R
 from ledgerframe.sources.bridge import calendar_between

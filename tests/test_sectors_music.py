@@ -3,7 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import rows
+from suite_helpers import rows
 from ledgerframe.plans import music as M
 from ledgerframe.plans import sectors as Z
 from ledgerframe.sources.bridge import Store

@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from suite_helpers import rows
 from ledgerframe.operators import loads as L
 from test_loads import CONTRACT
 

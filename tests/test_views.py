@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from conftest import rows
+from suite_helpers import rows
 from ledgerframe.plans import music as M
 from ledgerframe.plans import portfolio as P
 from ledgerframe.sources import bridge
