@@ -62,6 +62,24 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Groups that hold this share (1 / HOT_GROUPS) of all rows are broadcast; there are no more than that many.
+HOT_GROUPS = 1000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """Inner join of rows to ``groups`` (one row for each key, with the number of its rows in ``size``).
+
+    A group that holds a thousandth of all rows or more is joined where its rows are, by a
+    broadcast of a thousand groups at most, so a hot group is never one task's work. Both
+    sides are read twice: pass written tables. Rows with a null in a key join nothing.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = F.col(size) * HOT_GROUPS >= total
+    few = F.broadcast(groups.where(hot))
+    return rows.join(few, keys).unionByName(
+        rows.join(few.select(*keys), keys, "left_anti").join(groups.where(~hot), keys))
+
+
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(b" \t\n\r\x0b\x0c")] = True
 _WEIGHTS = np.random.default_rng(2024).integers(0, 1 << 63, 4096, np.uint64) * np.uint64(2) + np.uint64(1)

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerframe.llm import (
-    ann_srs, decontaminate, license_rules, line_spread, mixing, pii_bootstrap, simhash, substring_windows,
-    token_counts, toxicity)
+    ann_srs, decontaminate, importance, license_rules, line_spread, minmax_dedup, mixing, pii_bootstrap, simhash,
+    source_divergence, substring_windows, token_counts, toxicity)
 from ledgerframe.llm.common import read_table
 
 
@@ -58,6 +58,18 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_bootstrap.digest(read_table(spark, sf_dir, "documents"))
 
 
+def op11_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_shared_passages": op2_shared_passages,
@@ -69,6 +81,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_line_spread": op9_line_spread,
     "op10_personal_data": op10_personal_data,
+    "op11_minmax": op11_minmax,
+    "op12_resample": op12_resample,
+    "op13_divergence": op13_divergence,
 }
 
 #: The distinct-site rule of operator 9, counted exactly.
@@ -95,4 +110,77 @@ judged as (
 select doc_id, if(partly, n, 0) as removed_lines, if(partly, rest, text) as clean_text from judged
 """
 
-ORACLES = {"op9_line_spread": _LINE_SPREAD_SQL}
+#: All pairs of sets that share a shingle, counted; components by closure.
+_MINMAX_SQL = r"""
+with recursive docs as (
+    select row_number() over () as r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x20\x09-\x0D]+') as w
+    from documents),
+sets as (
+    select r, doc_id, list_sort(list_distinct(
+        case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+             else [array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)] end)) as s
+    from docs),
+classes as (
+    select min(r) as c, min(doc_id) as first, s, len(s) as n from sets where len(s) > 0 group by s),
+grams as (select c, n, unnest(s) as g from classes),
+links as (
+    select a.c as a, b.c as b
+    from grams a join grams b on a.g = b.g and a.c <> b.c and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    group by a.c, b.c, a.n, b.n
+    having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach as (
+    select c as a, c as b from classes
+    union
+    select reach.a, links.b from reach join links on reach.b = links.a),
+least as (
+    select reach.a as c, min(classes.first) as component_id
+    from reach join classes on reach.b = classes.c group by 1)
+select doc_id, len(sets.s) as n_shingles,
+       case when len(sets.s) = 0 then doc_id else component_id end as component_id,
+       doc_id is not distinct from case when len(sets.s) = 0 then doc_id else component_id end as kept
+from sets left join classes using (s) left join least using (c)
+"""
+
+#: Shares of all kept terms in all groups, written out.
+_DIVERGENCE_SQL = r"""
+with docs as (
+    select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as words
+    from documents),
+groups as (select distinct lang, source from docs),
+seen as (select r, lang, source, unnest(words) as term from docs),
+counted as (select lang, source, term, count(*) as n from seen group by all),
+kept as (
+    select lang, term, count(*) as n from seen group by lang, term
+    having count(distinct r) >= 30),
+sizes as (select lang, count(*) as v, sum(n) as total from kept group by lang),
+cells as (
+    select g.lang, g.source, k.term, coalesce(c.n, 0) as n, k.n as lang_n
+    from groups g join kept k on g.lang = k.lang
+    left join counted c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+totals as (select lang, source, sum(n) as total from cells group by lang, source),
+shares as (
+    select lang, source, term, cells.n,
+           1 + (1000000000 * (cells.n::hugeint + 5)) // (totals.total + 5 * v) as p,
+           1 + (1000000000 * (lang_n::hugeint + 5)) // (sizes.total + 5 * v) as q
+    from cells join totals using (lang, source) join sizes using (lang)),
+apart as (
+    select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+    from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+    group by all),
+found as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+    from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join apart on apart.lang = a.lang and apart.source = a.source and apart.item = b.source
+    union all
+    select lang, source, 'term', term, p - q from shares where n > 0 and p > q),
+ranked as (
+    select *, row_number() over (partition by lang, source, part order by value desc, encode(item)) as rank from found)
+select lang, source, part, item, value::bigint as value, rank::integer as rank
+from ranked where part = 'pair' or rank <= 50
+"""
+
+ORACLES = {"op9_line_spread": _LINE_SPREAD_SQL, "op11_minmax": _MINMAX_SQL, "op13_divergence": _DIVERGENCE_SQL}
