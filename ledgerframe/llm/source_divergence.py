@@ -27,10 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerframe.llm.common import stored
+from ledgerframe.llm.common import cut, join_groups, stored
 
 MIN_DOCS = 30
 SMOOTHING = 5
@@ -39,41 +40,49 @@ TOP_TERMS = 50
 #: Postings of a block on average, and terms at most that a row scatters at a time.
 BLOCK_CELLS = 200_000
 _SCATTER = 1 << 20
+_SALTS = 64
 #: Entries that a task counts before it hands them on.
-_HELD = 200_000
+_HELD = 400_000
 _TERM = re.compile(rb"[a-z\x80-\xff]+")  # of lower-cased UTF-8
 
 
 def counts(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    """``(lang, source, term, n, docs)``: occurrences and documents; an empty term marks each group."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict = defaultdict(lambda: defaultdict(lambda: [0, 0]))
+    """``(lang, source, term, n, docs)``: occurrences and documents, in parts; an empty term marks each group."""
+    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()),
+                        ("n", pa.int64()), ("docs", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        occurs: dict = defaultdict(Counter)
+        holds: dict = defaultdict(Counter)
         size = 0
 
-        def flush() -> pd.DataFrame:
-            rows = [(*group, term.decode(), n, d) for group, terms in held.items() for term, (n, d) in terms.items()]
-            held.clear()
-            return pd.DataFrame(rows, columns=["lang", "source", "term", "n", "docs"])
+        def flush() -> Iterator[pa.RecordBatch]:
+            for group, terms in holds.items():
+                many = len(terms)
+                yield pa.record_batch([
+                    pa.repeat(pa.scalar(group[0], pa.string()), many), pa.repeat(pa.scalar(group[1], pa.string()), many),
+                    pa.array(terms.keys(), pa.binary()).cast(pa.string()),
+                    pa.array(map(occurs[group].__getitem__, terms.keys()), pa.int64()),
+                    pa.array(terms.values(), pa.int64())], schema=schema)
+            occurs.clear()
+            holds.clear()
 
         for batch in batches:
-            for lang, source, text in zip(batch["lang"], batch["source"], batch["t"]):
-                terms = held[lang, source]
-                size -= len(terms)
-                terms[b""][1] += 1
-                for term, n in Counter(_TERM.findall(text.encode().lower())).items():
-                    entry = terms[term]
-                    entry[0] += n
-                    entry[1] += 1
-                size += len(terms)
+            for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "t"))):
+                found = _TERM.findall(text.encode().lower())
+                mine = holds[lang, source]
+                size -= len(mine)
+                mine.update({b"", *found})
+                size += len(mine)
+                occurs[lang, source].update(found)
                 if size >= _HELD:
-                    yield flush()
+                    yield from flush()
                     size = 0
-        yield flush()
+        yield from flush()
 
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a)
             for c, a in ((lang_col, "lang"), (source_col, "source"), (text_col, "t"))]
-    return (docs.select(*text).mapInPandas(run, "lang string, source string, term string, n long, docs long")
-            .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
+    return docs.select(*text).mapInArrow(run, "lang string, source string, term string, n long, docs long")
 
 
 def _share(n: Column, total: Column, terms: Column) -> Column:
@@ -126,16 +135,14 @@ def block_distances(cells: pd.DataFrame, zero: np.ndarray, terms: int) -> np.nda
 
 def distances(cells: DataFrame, groups: DataFrame, kept: DataFrame) -> DataFrame:
     """``(lang, g, h, value)`` of all ordered pairs of a language's groups."""
-    sizes = cells.groupBy("lang").agg(F.ceil(F.count("*") / BLOCK_CELLS).cast("int").alias("blocks"))
-
-    def block(blocks: str) -> Column:
-        return F.pmod(F.xxhash64("term"), F.col(blocks)).cast("int").alias("block")
-
-    terms = kept.join(sizes, "lang").select("lang", block("blocks")).groupBy("lang", "block").agg(
+    sizes = cut(cells.groupBy("lang").agg(F.count("*").alias("cells")).withColumn(
+        "blocks", F.ceil(F.col("cells") / BLOCK_CELLS).cast("int")))
+    block = F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int").alias("block")
+    terms = join_groups(kept, sizes, ["lang"], "cells").select("lang", block).groupBy("lang", "block").agg(
         F.count("*").alias("terms"))
     # every block gets its language's groups with their baselines
     frame = terms.join(groups.select("lang", "g", "zero"), "lang")
-    inside = cells.join(sizes, "lang").select("lang", block("blocks"), "g", "term", "p")
+    inside = join_groups(cells, sizes, ["lang"], "cells").select("lang", block, "g", "term", "p")
 
     def add_up(key: tuple, cells: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("g")
@@ -156,29 +163,38 @@ def distances(cells: DataFrame, groups: DataFrame, kept: DataFrame) -> DataFrame
 def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
           min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS) -> DataFrame:
     """``lang, source, part, item, value, rank``: sources by distance, and each group's own terms."""
-    every = stored(counts(docs, text_col, lang_col, source_col))
-    kept = stored(every.where("term <> ''").groupBy("lang", "term").agg(
-        F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).drop("docs"))
+    # dealt by (lang, term), so that a term's rows of all groups meet without a further shuffle
+    every = counts(docs, text_col, lang_col, source_col).repartition("lang", "term") \
+        .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    term = Window.partitionBy("lang", "term")
+    every = every.withColumn("lang_n", F.sum("n").over(term)).withColumn("lang_docs", F.sum("docs").over(term))
+    every = stored(every.where((F.col("lang_docs") >= min_docs) | (F.col("term") == "")).drop("docs", "lang_docs"))
+    cells = every.where("term <> ''")
+    kept = cells.groupBy("lang", "term").agg(F.first("lang_n").alias("lang_n"))
     langs = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
-    cells = every.where("term <> ''").drop("docs").join(kept, ["lang", "term"])
-    cells = stored(cells)
-    sums = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    sums = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("cells"))
     groups = every.where("term = ''").select("lang", "source").join(sums, ["lang", "source"], "left")
     groups = groups.join(langs, "lang", "left").select(
-        "lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("terms", F.lit(0)).alias("terms"),
-        "lang_total")
+        "lang", "source", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total", "cells", "terms")], "lang_total")
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     zero = F.when(F.col("terms") > 0, _share(F.lit(0), F.col("total"), F.col("terms"))).otherwise(0)
-    groups = stored(groups.withColumn("g", number.cast("long")).withColumn("zero", zero))
-    shares = cells.join(groups.drop("zero"), ["lang", "source"]).select(
+    groups = cut(groups.withColumn("g", number.cast("long")).withColumn("zero", zero))
+    shares = join_groups(cells, groups, ["lang", "source"], "cells").select(
         "lang", "source", "g", "term", _share(F.col("n"), F.col("total"), F.col("terms")).alias("p"),
         _share(F.col("lang_n"), F.col("lang_total"), F.col("terms")).alias("q"))
     shares = stored(shares)
 
-    names = groups.select("lang", F.col("g").alias("h"), F.col("source").alias("item"))
-    pairs = (groups.select("lang", "source", "g").join(names, "lang").where(F.col("g") != F.col("h"))
-             .join(distances(shares, groups, kept), ["lang", "g", "h"], "left")
-             .select("lang", "source", "item", F.coalesce("value", F.lit(0)).alias("value")))
+    here, there = (groups.select("lang", F.col("g").alias(k), F.col("source").alias(name))
+                   for k, name in (("g", "source"), ("h", "item")))
+    pairs = distances(shares, groups, shares.select("lang", "term").distinct()) \
+        .join(here, ["lang", "g"]).join(there, ["lang", "h"]).select("lang", "source", "item", "value")
+    # languages without a term have no block; their pairs are dealt by salt
+    bare = groups.where("terms = 0")
+    salted = [bare.select("lang", "source", F.pmod("g", F.lit(_SALTS)).alias("salt")),
+              bare.select("lang", F.col("source").alias("item"),
+                          F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))]
+    pairs = pairs.unionByName(salted[0].join(salted[1], ["lang", "salt"]).where("source <> item")
+                              .select("lang", "source", "item", F.lit(0).cast("long").alias("value")))
     # rows are cut to the top terms before they are shuffled
     terms = shares.where("p > q").select("lang", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item"))
