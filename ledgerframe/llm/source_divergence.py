@@ -141,7 +141,8 @@ def distances(cells: DataFrame, groups: DataFrame, kept: DataFrame) -> DataFrame
     terms = join_groups(kept, sizes, ["lang"], "cells").select("lang", block).groupBy("lang", "block").agg(
         F.count("*").alias("terms"))
     # every block gets its language's groups with their baselines
-    frame = terms.join(groups.select("lang", "g", "zero"), "lang")
+    frame = terms.join(groups.select("lang", "g", "zero"), "lang").select(
+        F.col("lang").alias("of_lang"), F.col("block").alias("of_block"), "g", "zero", "terms")
     inside = join_groups(cells, sizes, ["lang"], "cells").select("lang", block, "g", "term", "p")
 
     def add_up(key: tuple, cells: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
@@ -153,7 +154,7 @@ def distances(cells: DataFrame, groups: DataFrame, kept: DataFrame) -> DataFrame
         a, b = np.triu_indices(len(whole), 1)
         return pd.DataFrame({"lang": key[0], "a": a, "b": b, "value": whole[a, b]})
 
-    part = inside.groupBy("lang", "block").cogroup(frame.groupBy("lang", "block")).applyInPandas(
+    part = inside.groupBy("lang", "block").cogroup(frame.groupBy("of_lang", "of_block")).applyInPandas(
         add_up, "lang string, a long, b long, value long")
     total = stored(part.groupBy("lang", "a", "b").agg(F.sum("value").alias("value")))
     return (total.select("lang", F.col("a").alias("g"), F.col("b").alias("h"), "value")
