@@ -10,11 +10,16 @@ with a chance of (1 - s ** ROWS) ** 2 at most. At s = 0.8 all ``2 * GROUPS`` ban
 with a chance of 7e-6; candidates are confirmed on their full sets.
 
 Equal sets are folded into one class first, copies included. Classes that agree in a band
-form a bucket. A bucket is compared with hubs, not by pairs: first the member that agrees
-with most others in all its buckets, then four more, sixteen more and so on, among members that
-the links found so far leave in different components. A bucket is done when all of its
-members are connected or have been hubs, so the components are those of all candidate pairs,
-while a group of near copies costs one comparison a member.
+form a bucket. A bucket is compared with one hub, not by pairs: the member that agrees with most
+others in all its buckets. Members that the links found so far leave in different
+components of a bucket are put into new buckets by the rarest shingles of their sets (prefix
+filter: sets of the asked similarity share one of the first fifth). A set with a fifth of
+its own shingles meets nobody there, so a group of near copies or a shared passage isn't
+compared by pairs. All members of such a bucket meet its centre, the one with the fewest
+shingles of its own. What two members have in common is bounded by what each has of the
+centre and what each has beyond it in others' sets; where that is enough they meet in turn,
+with four hubs, sixteen and so on, until all members are connected or have been hubs. So the
+components are those of all candidate pairs.
 
 Defined cases: a null or empty text, or one of white space alone, has an empty set, links to
 nothing and is its own component; rows are separate whatever their ids, so repeated rows
@@ -42,7 +47,6 @@ PERCENT = 80
 GROUPS, ROWS = 15, 5
 #: Texts are sketched together until they hold this many shingles.
 _CHUNK = 1 << 15
-_SALTS = 64
 _RNG = np.random.default_rng(11)
 _XOR = _RNG.integers(0, 1 << 63, GROUPS * ROWS, np.uint64)
 _ODD = _RNG.integers(0, 1 << 63, GROUPS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -126,29 +130,71 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingl
     return texts.mapInPandas(run, "node long, s array<long>").dropDuplicates(["node"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are as similar as ``percent`` asks for."""
+def _overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``(a, b, common, linked)`` of pairs, from their full sets."""
     left = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    joined = F.size("sa") + F.size("sb")
-    return both.where((100 + F.lit(percent)) * common.cast("long") >= percent * joined.cast("long")).select("a", "b")
+    common = F.size(F.array_intersect("sa", "sb")).cast("long")
+    total = (F.size("sa") + F.size("sb")).cast("long")
+    return both.select("a", "b", common.alias("common"), total.alias("total")).select(
+        "a", "b", "common", ((100 + F.lit(percent)) * F.col("common") >= percent * F.col("total")).alias("linked"))
+
+
+def _centres(members: DataFrame) -> DataFrame:
+    """``(key, hub)``: each bucket's member with the highest score, the least one among equals."""
+    best = members.groupBy("key").agg(F.max(F.struct("score", -F.col("node"))).alias("m"))
+    return best.select("key", (-F.col("m.col2")).alias("hub"))
 
 
 def _hubs(members: DataFrame, many: int) -> DataFrame:
-    """Of each bucket the ``many`` members with the highest score, chosen in salted parts first."""
-    best = [F.col("score").desc(), F.col("node")]
-    salt = F.pmod(F.xxhash64("node"), F.lit(_SALTS))
-    some = members.withColumn("k", F.row_number().over(Window.partitionBy("key", salt).orderBy(*best))) \
-        .where(F.col("k") <= many)
-    return some.withColumn("k", F.row_number().over(Window.partitionBy("key").orderBy(*best))) \
-        .where(F.col("k") <= many).select("key", F.col("node").alias("hub"), F.col("n").alias("hub_n"),
-                                          F.col("class").alias("hub_class"), F.col("k").alias("hub_k"))
+    """Of each bucket the ``many`` members with the highest score, the best with ``hub_k`` 1."""
+    # a partition's rows of a bucket are cut to as many before they are shuffled
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.col("score").desc(), "node"))
+    return members.withColumn("k", place).where(F.col("k") <= many).select(
+        "key", F.col("node").alias("hub"), *[F.col(c).alias(f"hub_{c}") for c in ("n", "common", "beyond", "class", "k")])
+
+
+def _meeting(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: members and hubs of one bucket and different classes of which enough can be common.
+
+    ``common`` shingles of a member are its bucket's centre's too and ``beyond`` more stand
+    in other members' sets, so two members have no more in common than the lesser of each.
+    """
+    most = F.least("common", "hub_common") + F.least("beyond", "hub_beyond")
+    return (members.join(hubs, "key")
+            .where(F.col("k").isNull() | (F.col("k") > F.col("hub_k")))  # of two hubs the better meets the other
+            .where((F.col("node") != F.col("hub")) & (F.col("class") != F.col("hub_class")))
+            .where((100 + percent) * most >= percent * (F.col("n") + F.col("hub_n")))
+            .select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct())
+
+
+def _apart(members: DataFrame, of: DataFrame) -> DataFrame:
+    """Members with their components as ``class``, where a bucket has several of them."""
+    now = members.drop("class").join(of, "node", "left").withColumn("class", F.coalesce("root", "node")).drop("root")
+    several = now.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x != y")
+    return stored(now.join(several.select("key"), "key", "left_semi"))
+
+
+def _prefixes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members again, in buckets by the rarest shingles of their sets.
+
+    Two sets of the asked similarity share one of the ``n - ceil(percent * n / 100) + 1``
+    first shingles of each in any one order. Here the rarest among these members come first;
+    those that stand in one set alone make no bucket. ``held`` of a set's shingles stand in others too.
+    """
+    nodes = members.select("node", "n", "class").distinct()
+    every = nodes.select("node").join(sets, "node").select("node", F.explode("s").alias("key"))
+    often = every.groupBy("key").agg(F.count("*").alias("f")).where("f > 1")
+    place = Window.partitionBy("node").orderBy("f", "key")
+    every = every.join(often, "key").withColumn("at", F.row_number().over(place)).withColumn(
+        "held", F.count("*").over(Window.partitionBy("node")))
+    first = F.floor((100 - percent) * F.col("n") / 100) + 1 - (F.col("n") - F.col("held"))
+    return nodes.join(every, "node").where(F.col("at") <= first).select("key", "node", "n", "held", "class")
 
 
 def components(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, shingle_words: int,
-               percent: int) -> DataFrame | None:
-    """``(node, root)``: the components of classes by all confirmed candidate pairs; None without any class."""
+               percent: int) -> DataFrame:
+    """``(node, root)``: the components of classes by all confirmed candidate pairs."""
     members = classes.select("node", "n", F.explode("bands").alias("key"))
     counts = members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     members = stored(members.join(counts, "key"))
@@ -156,30 +202,39 @@ def components(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     wanted = score.select("node").join(classes.select("node", "r", "hi", "lo"), "node")
     sets = stored(_sets(docs, wanted, id_col, text_col, shingle_words))
     members = stored(members.drop("c").join(score, "node").withColumn("class", F.col("node")))
-    found = tested = of = None
-    many = 1
+    # bands: one hub a bucket
+    near = members.join(_centres(members), "key").where("node <> hub").join(
+        classes.select(F.col("node").alias("hub"), F.col("n").alias("hub_n")), "hub")
+    tested = cut(near.where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
+                 .select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct())
+    found = cut(_overlaps(tested, sets, percent).where("linked").select("a", "b"))
+    of = connected_components(found, "a", "b")
+    members = _apart(members.drop("score"), of)
+    if members.isEmpty():
+        return of
+    # rarest shingles: a centre that all members of a bucket meet, the one with the fewest shingles of its own
+    members = _apart(_prefixes(members, sets, percent).withColumn("score", F.col("held") - F.col("n")), of)
+    centres = stored(members.join(_centres(members), "key"))
+    met = centres.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    met = stored(_overlaps(met, sets, percent))
+    tested = cut(tested.unionByName(met.where("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).distinct())
+    found = cut(found.unionByName(met.where("linked AND a <> b").select("a", "b")))
+    of = connected_components(found, "a", "b")
+    members = centres.join(met.select(F.col("a").alias("node"), F.col("b").alias("hub"), "common"), ["node", "hub"]) \
+        .where("node <> hub").withColumn("beyond", F.col("held") - F.col("common")).drop("hub")
+    members, many = _apart(members, of), 4
     while not members.isEmpty():
         hubs = cut(_hubs(members, many))
         members = members.join(hubs.select("key", F.col("hub").alias("node"), F.col("hub_k").alias("k")),
                                ["key", "node"], "left")
-        # of two hubs of a bucket the better one meets the other
-        near = (members.join(hubs, "key")
-                .where(F.col("k").isNull() | (F.col("k") > F.col("hub_k")))
-                .where((F.col("node") != F.col("hub")) & (F.col("class") != F.col("hub_class")))
-                .where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
-                .select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct())
-        if tested is not None:
-            near = near.join(tested, ["a", "b"], "left_anti")
-        near = cut(near)
-        new = cut(_confirmed(near, sets, percent))
-        tested = near if tested is None else cut(tested.unionByName(near))
-        rest = members.where(F.col("k").isNull()).drop("k", "class")
-        if of is None or not new.isEmpty():
-            found = new if found is None else cut(found.unionByName(new))
+        near = cut(_meeting(members, hubs, percent).join(tested, ["a", "b"], "left_anti"))
+        new = cut(_overlaps(near, sets, percent).where("linked").select("a", "b"))
+        tested = cut(tested.unionByName(near))
+        if not new.isEmpty():
+            found = cut(found.unionByName(new))
             of = connected_components(found, "a", "b")
-        rest = rest.join(of, "node", "left").withColumn("class", F.coalesce("root", "node")).drop("root")
-        several = rest.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x != y")
-        members = stored(rest.join(several.select("key"), "key", "left_semi"))
+        members = _apart(members.where(F.col("k").isNull()).drop("k"), of)
         many *= 4
     return of
 
@@ -195,13 +250,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()))
     of = components(docs, classes, id_col, text_col, shingle_words, percent)
     firsts = classes.select("node", "hi", "lo", "first", "copies")
-    if of is None:
-        groups = firsts.withColumn("least", F.col("first"))
-    else:
-        linked = cut(of.join(firsts.select("node", "first"), "node"))
-        least = linked.groupBy("root").agg(F.min("first").alias("least"))
-        groups = firsts.join(linked.join(least, "root").select("node", "least"), "node", "left") \
-            .withColumn("least", F.coalesce("least", "first"))
+    linked = cut(of.join(firsts.select("node", "first"), "node"))
+    least = linked.groupBy("root").agg(F.min("first").alias("least"))
+    groups = firsts.join(linked.join(least, "root").select("node", "least"), "node", "left") \
+        .withColumn("least", F.coalesce("least", "first"))
     groups = cut(groups.select("hi", "lo", "copies", "least"))
     full = join_groups(rows.where("n > 0").select("d", "n", "hi", "lo"), groups, ["hi", "lo"], "copies")
     full = full.select("d", "n", F.col("least").alias("c"))
