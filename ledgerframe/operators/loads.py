@@ -17,25 +17,32 @@ partitioned by the unit alone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerframe.operators.contract import REASONS, Contract, add_reasons, enforce_contract, is_clean
-from ledgerframe.operators.ordered import global_row_index
+from ledgerframe.operators import versions
+from ledgerframe.operators.keyset import key_bits, may_hold
 
 IN_TARGET = "_in_target"
 
 
 def _target_keys(new: DataFrame, target: DataFrame, pk: list[str], range_key: str | None) -> DataFrame:
     """The target's keys that new rows can collide with. Only key columns are read. With
-    ``range_key`` (an ordered key column, e.g. the trade date) the target is first
-    restricted to the new rows' min..max of it; the bounds are scalar subqueries, so on a
-    target partitioned by that column the scan reads only those partitions."""
+    ``range_key`` (a date of the key) the target is first restricted to the dates that the
+    new rows bear; on a target partitioned by the column the scan reads just these
+    partitions, so one late row among today's doesn't open all partitions between."""
     if range_key is not None:
-        lo, hi = new.select(F.min(range_key)).scalar(), new.select(F.max(range_key)).scalar()
-        target = target.filter(F.col(range_key).between(lo, hi))
+        target = target.filter(_on_dates(new, range_key))
     return target.select(*pk)
 
 
+def _on_dates(new: DataFrame, range_key: str) -> Column:
+    """Whether a row bears a date of the new rows: a scalar subquery of one array with each
+    calendar day once at most, which Spark evaluates before it lists partitions."""
+    days = new.agg(F.collect_set(range_key)).scalar()
+    return F.coalesce(F.array_contains(days, F.col(range_key)), F.lit(False))
+
+
 def _flagged(df: DataFrame, contract: Contract, bad_flag: str | None) -> DataFrame:
     """Typed rows with their contract reasons; a strict-date flag is one more reason."""
     checked = enforce_contract(df, contract)
@@ -104,12 +111,19 @@ def full_refresh_rejects(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def full_refresh(df: DataFrame, path: str, staging: str) -> None:
-    """A15 sink: replace the table at ``path`` (which nobody reads meanwhile). The rows are
-    written to ``staging`` first, so a plan that raises leaves the old table in place."""
+    """A15 sink: replace the plain folder at ``path`` (which nobody reads meanwhile). The rows
+    are written to ``staging`` first, so a plan that raises leaves the old table in place;
+    ``refresh_commit`` also stands a job that ends while the table is replaced."""
     df.write.mode("overwrite").parquet(staging)
     df.sparkSession.read.parquet(staging).write.mode("overwrite").parquet(path)
 
 
+def refresh_commit(df: DataFrame, path: str) -> int:
+    """A15 sink: the versioned table at ``path`` becomes these rows in one commit. A job that
+    ends before it, a plan that raises included, leaves the old table; readers keep theirs."""
+    return versions.replace(df, path)
+
+
 def append_atomic(new: DataFrame, target: DataFrame | None, contract: Contract, unit: str,
                   bad_flag: str | None = None, range_key: str | None = None):
     """Insert-only load committed per ``unit``; a unit with any bad row (contract
@@ -133,31 +147,54 @@ def append_prefix(new: DataFrame, target: DataFrame | None, contract: Contract,
     earlier batches stay. A repeated key fails in the batch of its second occurrence.
     Returns (accepted rows, failed (unit, first_bad_batch, dropped_rows)).
 
-    Units without a bad row are accepted as they are. Of the others, only those that keep
-    a batch are numbered, from counts per (unit, block of ``order`` values) plus offsets
-    (``global_row_index``), so a hot unit is numbered by many tasks."""
+    The feed's keys are read once for the bad rows and, of units that have one, once more for
+    their counts; the rows themselves are read once. A key's first two rows tell where it comes back; all other rows are
+    dropped before the shuffle (a row limit per key), so a key repeated across a third of
+    the load is no task's work. Rows are counted per (unit, block of ``order`` values) and the
+    blocks' counts carried on, in units that have a bad row alone: the blocks before the
+    bad row's give its position by their sums, and of one block rows are numbered to find
+    the ``order`` value that the last kept batch ends with."""
     pk = contract.pk
     checked = _flagged(new, contract, None)
-    repeated = (checked.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_first"))
-                .filter(F.col("_n") > 1).drop("_n"))
-    marked = checked.join(repeated, pk, "left")
-    bad = ~is_clean() | F.coalesce(F.col(order) > F.col("_first"), F.lit(False))
+    keys = checked.select(unit, *[c for c in pk if c != unit], F.col(order).alias("_o"),
+                          (~is_clean()).alias("_bad"))
+    by = list(dict.fromkeys([*pk, unit]))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("_o"))
+    marked = keys.withColumn("_n", place).filter(F.col("_n") <= 2)
+    again = F.col("_n") > 1
+    if unit not in pk:  # the key may come back in another unit
+        again = F.col("_o") > F.min("_o").over(Window.partitionBy(*pk))
+    marked = marked.withColumn("_bad", F.col("_bad") | again)
     if target is not None:
-        there = _target_keys(checked, target, pk, range_key).withColumn(IN_TARGET, F.lit(True))
-        marked = marked.join(there, pk, "left")
-        bad = bad | F.col(IN_TARGET).isNotNull()
-    stops = marked.filter(bad).groupBy(unit).agg(F.min(order).alias("_stop"))
-    failed = (checked.select(unit, order).join(stops, unit).groupBy(unit)
-              .agg(F.count_if(F.col(order) < F.col("_stop")).alias("_before"), F.count(F.lit(1)).alias("_rows"))
-              .select(unit, F.floor(F.col("_before") / batch_size).alias("first_bad_batch"), "_rows"))
-    kept = (failed.filter(F.col("first_bad_batch") > 0)
-            .select(unit, (F.col("first_bad_batch") * batch_size).alias("_keep")))
-    numbered = global_row_index(checked.join(kept, unit), order, "_rn", partition=[unit],
-                                block=F.floor(F.col(order) / F.lit(block_rows)))
-    accepted = (checked.join(stops.select(unit), unit, "left_anti").select(*contract.columns)
-                .unionByName(numbered.filter(F.col("_rn") <= F.col("_keep")).select(*contract.columns)))
+        there = _target_keys(keys, target, pk, range_key).distinct().withColumn(IN_TARGET, F.lit(True))
+        marked = marked.join(there, pk, "left").withColumn("_bad", F.col("_bad") | F.col(IN_TARGET).isNotNull())
+    block = F.floor(F.col("_o") / F.lit(block_rows))
+    stops = (marked.filter("_bad").groupBy(unit).agg(F.min("_o").alias("_stop"))
+             .withColumn("_stop_block", F.floor(F.col("_stop") / F.lit(block_rows))))
+    rows = keys.select(unit, "_o", block.alias("_block")).join(stops, unit)
+    counts = rows.groupBy(unit, "_block").agg(
+        F.count(F.lit(1)).alias("_rows"), F.count_if(F.col("_o") < F.col("_stop")).alias("_before"))
+    # one row per (unit, block): what the unit holds up to the block, and how much of it stays
+    ahead = Window.partitionBy(unit).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(unit)
+    counts = counts.select(
+        unit, "_block", "_rows", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_ahead"),
+        F.floor(F.sum("_before").over(whole) / batch_size).alias("first_bad_batch"),
+        F.sum("_rows").over(whole).alias("_all"))
+    keep = F.col("first_bad_batch") * batch_size
+    last = counts.filter((F.col("_ahead") < keep) & (keep <= F.col("_ahead") + F.col("_rows"))) \
+        .select(unit, "_block", (keep - F.col("_ahead")).alias("_at"))
+    inside = Window.partitionBy(unit, "_block").orderBy("_o")
+    ends = (rows.select(unit, "_block", "_o").join(last, [unit, "_block"])
+            .withColumn("_rn", F.row_number().over(inside)).filter(F.col("_rn") == F.col("_at"))
+            .select(unit, F.col("_o").alias("_last")))
+    failed = counts.groupBy(unit).agg(F.first("first_bad_batch").alias("first_bad_batch"),
+                                      F.first("_all").alias("_all"))
+    verdict = failed.join(ends, unit, "left").select(unit, "_last", F.lit(True).alias("_stopped"))
+    accepted = (checked.join(verdict, unit, "left")
+                .filter(F.col("_stopped").isNull() | (F.col(order) <= F.col("_last"))).select(*contract.columns))
     return accepted, failed.select(
-        unit, "first_bad_batch", (F.col("_rows") - F.col("first_bad_batch") * batch_size).alias("dropped_rows"))
+        unit, "first_bad_batch", (F.col("_all") - F.col("first_bad_batch") * batch_size).alias("dropped_rows"))
 
 
 def upsert(target: DataFrame | None, src: DataFrame, contract: Contract, seq: str | list[str],
@@ -165,28 +202,27 @@ def upsert(target: DataFrame | None, src: DataFrame, contract: Contract, seq: st
     """MERGE on the primary key applied row by row in ``seq`` order: a row that
     violates the contract is skipped (and reported), otherwise the last row per key
     replaces the target row or is inserted. The winner per key is a ``max_by`` over
-    ``seq`` (partial aggregation, no sort of a whole key group). With ``range_key`` only
-    target rows between the winners' least and greatest value of it are joined; rows
-    outside cannot match and pass by the join.
-    Returns (new target, rejected rows with reason)."""
+    ``seq`` (partial aggregation, no sort of a whole key group). Target rows whose key the
+    winners' key filter rules out pass as they are read; only the others are joined, and
+    with ``range_key`` (a date of the key) those on the winners' dates alone. Returns (new target, rejected rows with reason)."""
     checked = enforce_contract(src, contract)
-    valid = checked.filter(is_clean())
     rejects = checked.filter(~is_clean()).withColumnRenamed(REASONS, "reason")
     pk = contract.pk
     rest = [c for c in contract.columns if c not in pk]
     order = F.struct(*seq) if isinstance(seq, list) else F.col(seq)
-    win = valid.groupBy(*pk).agg(F.max_by(F.struct(*rest), order).alias("_w"))
+    # skipped rows have no order, so they never win. A filter would do the same, but the
+    # optimiser restates its long condition for every subset of the typed columns.
+    win = (checked.groupBy(*pk).agg(F.max_by(F.struct(*rest), F.when(is_clean(), order)).alias("_w"))
+           .filter(F.col("_w").isNotNull()))
     winners = win.select(*pk, *[F.col(f"_w.{c}").alias(c) for c in rest]).select(*contract.columns)
     if target is None:
         return winners, rejects
     typed = target.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.schema.fields])
-    if range_key is None:
-        return typed.join(winners.select(*pk), pk, "left_anti").unionByName(winners), rejects
-    lo, hi = valid.select(F.min(range_key)).scalar(), valid.select(F.max(range_key)).scalar()
-    reached = F.coalesce(F.col(range_key).between(lo, hi), F.lit(False))
-    untouched = typed.filter(~reached)
-    kept = typed.filter(reached).join(winners.select(*pk), pk, "left_anti")
-    return untouched.unionByName(kept).unionByName(winners), rejects
+    hit = may_hold(key_bits(winners, pk), pk)
+    if range_key is not None:
+        hit = _on_dates(win, range_key) & hit
+    kept = typed.filter(hit).join(winners.select(*pk), pk, "left_anti")
+    return typed.filter(~hit).unionByName(kept).unionByName(winners), rejects
 
 
 def merge_into_path(spark: SparkSession, path: str, src: DataFrame, contract: Contract, seq: str | list[str],
@@ -195,7 +231,8 @@ def merge_into_path(spark: SparkSession, path: str, src: DataFrame, contract: Co
     ``partition`` names (an expression over key columns, with an alias). Only partitions
     that the rows of ``src`` fall into are read and rewritten. The merged rows go to
     ``staging`` first (never overwrite the path being read), then replace the matching
-    partitions. Returns the rejected rows."""
+    partitions. Returns the rejected rows. For a plain partitioned folder; ``merge_commit``
+    does the same in one commit."""
     valid = enforce_contract(src, contract).filter(is_clean())
     touched = valid.select(partition).distinct()
     name = touched.columns[0]
@@ -208,6 +245,21 @@ def merge_into_path(spark: SparkSession, path: str, src: DataFrame, contract: Co
     return rejects
 
 
+def merge_commit(spark: SparkSession, path: str, src: DataFrame, contract: Contract, seq: str | list[str],
+                 partition: Column) -> DataFrame:
+    """A18 sink: MERGE ``src`` into the versioned table at ``path`` in one commit.
+
+    ``partition`` is an expression over key columns. Partitions that the rows of ``src`` fall
+    into are read and written anew, the others belong to the new commit as they are. A
+    job that ends before the commit leaves the old table, so it may just run again.
+    Returns the rejected rows."""
+    names = enforce_contract(src, contract).filter(is_clean()).select(versions.partition_name(partition).alias("p"))
+    in_scope = versions.touched(spark, path, names, contract.schema)
+    merged, rejects = upsert(in_scope, src, contract, seq)
+    versions.replace_partitions(merged, path, partition)
+    return rejects
+
+
 def load_report(offered: DataFrame, inserted: DataFrame, unit: str) -> DataFrame:
     """Per unit the rows that the load offered, inserted and rejected."""
     one, none = F.lit(1), F.lit(0)
@@ -246,6 +298,6 @@ def missing_periods(present: DataFrame, spine: DataFrame, col: str = "report_dat
 
 
 def materialise(df: DataFrame, path: str) -> DataFrame:
-    """Write a derived table and continue from the written copy (cuts lineage)."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Write a derived table in one commit and continue from the written copy (cuts lineage)."""
+    commit = versions.replace(df, path)
+    return versions.read(df.sparkSession, path, commit=commit, schema=df.schema)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerframe.functions import schemas as S
 from ledgerframe.functions.output import comparable
+from ledgerframe.operators import ledger
 from ledgerframe.operators.contract import split_contract
 from ledgerframe.operators.loads import full_refresh_rejects, listed_without_data, on_list
 from ledgerframe.plans import etl as E
@@ -69,6 +70,14 @@ def _dividend_merge(spark, d):
     return E.ingest_dividends(new, target=E.ingest_dividends(old)[0])
 
 
+def _ledger(spark, d):
+    """A run that loaded half of the files, then one that is offered all, some corrected."""
+    feed = feeds.landed_files(feeds.daily_bar_feed(spark, d))
+    loaded = ledger.contents(feeds.first_half(feed), "daily_bars", "file")
+    offered = feeds.corrected(feed, "close")
+    return ledger.compare(offered, loaded, "daily_bars", "file").select(F.col("unit").alias("file"), "rows", "status")
+
+
 def _wide_panel(spark, d):
     wide = Z.pivot_panel(_panel(spark, d), "industry_code", PANEL_SYMBOLS)
     return wide.select("date", *[F.col(f"`{s}`").alias(f"symbol_{s}") for s in PANEL_SYMBOLS])
@@ -84,7 +93,7 @@ QUERIES = {
     "listed_without_data": _q(lambda s, d: listed_without_data(
         E.listed_codes(feeds.code_list(s, d)), feeds.valuation_feed(s, d))),
     "index_feed": _q(lambda s, d: feeds.index_feed(s, d)),
-    "ingest_index_valuation": _q(lambda s, d: E.ingest_index_valuation(feeds.index_feed(s, d))),
+    "ingest_index_valuation": _q(lambda s, d: E.ingest_index_valuation(E.index_rows(feeds.index_frames(s, d)))),
     "index_load_rejects": _q(lambda s, d: full_refresh_rejects(
         E.clean_index(feeds.index_feed(s, d, oversize="SZ")), S.MARKET_INDEX)),
     "index_load_report": _q(lambda s, d: E.report_index(feeds.index_feed(s, d, oversize="SZ"))),
@@ -98,6 +107,7 @@ QUERIES = {
     "daily_bar_failed_symbols": _q(lambda s, d: _failed(E.ingest_daily_bars(feeds.daily_bar_feed(s, d))[1])),
     "daily_bar_increment": _q(lambda s, d: _daily_increment(s, d)[0]),
     "daily_bar_increment_failed_symbols": _q(lambda s, d: _failed(_daily_increment(s, d)[1])),
+    "load_ledger": _q(_ledger),
     "daily_bar_load_report": _q(lambda s, d: E.report_daily_bars(feeds.daily_bar_feed(s, d))),
     "ingest_share_capital": _q(lambda s, d: E.ingest_share_capital(feeds.share_capital_feed(s, d))[0]),
     "share_capital_failed_symbols": _q(lambda s, d: _failed(E.ingest_share_capital(feeds.share_capital_feed(s, d))[1])),

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerframe.functions.output import comparable
+from ledgerframe.operators.loads import materialise
 from ledgerframe.operators.tradeday import daily_trade_summary
 from ledgerframe.plans import portfolio as P
 from ledgerframe.plans import risk as R
+from ledgerframe.session import shared_folder
 from ledgerframe.sources import bridge
 
 # Fixed parameters of the registered queries (the reference's literals mapped onto the
@@ -96,7 +99,13 @@ def _k41(b: Book) -> DataFrame:
     return R.trade_pnl_as_of_last_price(b.trades, b.closeprices)
 
 
+def _materialised(b: Book) -> DataFrame:
+    """Positions written as a table in one commit, and read from there."""
+    return materialise(b.positions, f"{shared_folder(b.spark)}/positions-{uuid.uuid4().hex}")
+
+
 QUERIES = {
+    "materialised_positions": _q(_materialised),
     "price_with_prev_detail": _q(lambda b: P.price_with_prev_detail(b.unkept_closeprices, b.calendar, DETAIL_TICKER, DETAIL_DATE)),
     "calendar_prices_trades": _q(lambda b: P.calendar_prices_trades(b.calendar, b.closeprices, b.trades)),
     "previous_close": _q(lambda b: P.previous_close(b.closeprices, b.calendar)),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: ANSI stays on (lenient parsing is spelled try_*),
@@ -36,3 +38,15 @@ def get_session(master: str = "local[8]", app: str = "ledgerframe",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's ``spark.checkpoint.dir``. Only a
+    local session without it gets a scratch folder."""
+    sc = spark.sparkContext
+    folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="ledgerframe-shared-")
+    return folder.rstrip("/")

@@ -136,6 +136,26 @@ def index_feed(spark: SparkSession, sf_dir: str, oversize: str | None = None) ->
     return g.select("trade_date", "index_value", "pb", "pb_weighted", "pb_median", "market")
 
 
+def index_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The same as the vendor lands it: one frame for each market, in the vendor's column order
+    and without usable headers."""
+    feed = index_feed(spark, sf_dir)
+    return {m: feed.filter(F.col("market") == m).drop("market").toDF("0", "1", "2", "3", "4")
+            for m in ("SH", "SZ", "CYB", "STAR")}
+
+
+def landed_files(feed: DataFrame) -> DataFrame:
+    """A feed with the name of the file that brought each row: ten files a day."""
+    day, k = _at(feed)
+    return feed.withColumn("file", F.concat(day.cast("string"), F.lit("-"), (k % 10).cast("string")))
+
+
+def corrected(feed: DataFrame, column: str) -> DataFrame:
+    """The feed landed again, with one figure of the codes of a tenth of some days corrected."""
+    day, k = _at(feed)
+    return feed.withColumn(column, F.when((day % 4 == 0) & (k % 10 == 3), F.col(column) + 1).otherwise(F.col(column)))
+
+
 def code_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vendor's list of codes, an input of its own: some of the codes of the feeds, and
     codes of a venue prefix (605) that no feed has."""

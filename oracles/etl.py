@@ -159,6 +159,11 @@ CTES = {
     "dbad": """select symbol, count(*) bad_rows from dk where reasons <> '' group by symbol""",
     "dwhy": """select symbol, string_agg(distinct r, ';' order by r) reasons
       from (select symbol, unnest(string_split(reasons, ';')) r from dk where reasons <> '') x group by symbol""",
+    # files of the daily feed: what one run loaded, and what the next one is offered
+    "lg_files": """select *, concat(cast(seq // 1000 as varchar), '-', cast(seq % 10 as varchar)) file from dfeed""",
+    "lg_loaded": f"select * from lg_files where {FIRST}",
+    "lg_offered": """select * replace (if((seq // 1000) % 4 = 0 and seq % 10 = 3, close + 1, close) as close)
+      from lg_files""",
     # ---------------------------------------------------------------- share capital
     "cfeed": """select event_id seq, code, dtext data_date, cast(value as varchar) close,
         cast(value / 7 as varchar) change_pct, cast(value * 1e9 as varchar) total_mv,
@@ -308,6 +313,13 @@ ETL_SQL = {
       from vb join vfirst using (symbol) where vb.batch >= vfirst.first_bad group by symbol"""),
     "ingest_daily_bars": m(f"select {typed(DAILY)} from dk where symbol not in (select symbol from dbad)"),
     "daily_bar_failed_symbols": m("select symbol, bad_rows, reasons from dbad join dwhy using (symbol)"),
+    "load_ledger": m(f"""select file, count(*) as "rows",
+        case when file not in (select file from lg_loaded) then 'new'
+             when file in (select file from (
+                (select * from lg_offered except all select * from lg_loaded) union all
+                (select * from lg_loaded except all select * from lg_offered)) x) then 'conflict'
+             else 'repeat' end as status
+      from lg_offered group by file"""),
     "daily_bar_load_report": m(report("symbol", "dk", "(select * from dk where symbol not in (select symbol from dbad))")),
     "daily_bar_increment": m(f"select {typed(DAILY)} from d2_ok"),
     "daily_bar_increment_failed_symbols": m("select symbol, bad_rows, reasons from d2_bad join d2_why using (symbol)"),

@@ -95,3 +95,16 @@ def test_hot_playlist_is_split(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_merge_plan_stays_small(spark):
+    """The optimiser must not restate the contract for every subset of columns in a merge."""
+    import time
+    from ledgerframe.plans.etl_catalog import QUERIES
+    sf = "/root/testdata/sf0.001"
+    plain = QUERIES["ingest_dividends"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    merge = QUERIES["dividend_merge"](spark, sf)
+    began = time.time()
+    plan = merge._jdf.queryExecution().optimizedPlan().toString()
+    assert time.time() - began < 20
+    assert len(plan) < 10 * len(plain)
