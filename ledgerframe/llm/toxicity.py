@@ -32,6 +32,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -143,6 +144,35 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     return some.join(usable, "_id").select("y", "t", place.alias("place"))
 
 
+def term_counts(rows: DataFrame, min_toxic: int = MIN_TOXIC_ROWS) -> DataFrame:
+    """``(term, a, b)``: toxic and other rows that hold a term, of all terms in ``min_toxic`` toxic rows.
+
+    Terms of toxic rows are counted first. Those that enough of them hold are few next to
+    the terms of all rows; a bit table of them thins out the others' terms before these
+    are shuffled, and a join with the terms themselves makes the counts exact.
+    """
+    def counted(batches: Iterator[pd.DataFrame], table: BitTable | None) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            held = Counter()
+            for text in batch["t"]:
+                terms = list(terms_of(text))
+                if table is not None and terms:
+                    hashes = np.array([xxhash.xxh64_intdigest(t.encode(), 42) for t in terms], np.uint64)
+                    terms = [terms[k] for k in np.flatnonzero(table.has(hashes)).tolist()]
+                held.update(terms)
+            yield pd.DataFrame({"term": list(held.keys()), "n": list(held.values())})
+
+    def count(y: int, name: str, table: BitTable | None) -> DataFrame:
+        return (rows.where(F.col("y") == y).select("t")
+                .mapInPandas(lambda batches: counted(batches, table), "term string, n long")
+                .groupBy("term").agg(F.sum("n").alias(name)))
+
+    toxic = cut(count(1, "a", None).where(F.col("a") >= min_toxic))
+    table = BitTable(toxic.select(F.xxhash64("term").alias("h")), "h", TABLE_BITS)
+    other = count(0, "b", table)
+    return toxic.join(other, "term", "left").select("term", "a", F.coalesce("b", F.lit(0)).alias("b"))
+
+
 def mine_lexicon(rows: DataFrame, size: int = LEXICON_TERMS) -> list[str]:
     """Terms that mark toxic rows, the most reliable first.
 
@@ -151,19 +181,12 @@ def mine_lexicon(rows: DataFrame, size: int = LEXICON_TERMS) -> list[str]:
     ones are taken only as far as they cover toxic rows that no taken term covers, the
     best first; so the many rare words that toxic rows share by chance stay out.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"y": batch["y"], "terms": [sorted(terms_of(t)) for t in batch["t"]]})
-
     n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return []
+    counts = term_counts(rows)
     pos, neg = n[1], n[0]
     share = pos / (pos + neg)
-    counts = (rows.mapInPandas(run, "y int, terms array<string>")
-              .select("y", F.explode("terms").alias("term")).groupBy("term")
-              .agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
-              .where(F.col("a") >= MIN_TOXIC_ROWS))
     p, q = (F.col("a") + 0.5) / (pos + 1.0), (F.col("b") + 0.5) / (neg + 1.0)
     both = F.col("a") + F.col("b")
     evidence = F.col("a") * F.log(F.col("a") / both / share) + F.when(

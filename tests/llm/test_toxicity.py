@@ -131,3 +131,16 @@ def test_statistics_come_from_all_labelled_rows(spark, no_docs, monkeypatch):
     model = T.fit(spark.createDataFrame(rows, no_docs.schema), spark.createDataFrame(labels, LABELS), fit_rows=200)
     assert {"zwyrotny", "zwyr*", "zwyro*"} & set(model.lexicon)
     assert anchors == [sum(not is_held_out(r[0]) for r in rows)]
+
+
+def test_terms_are_those_of_the_full_count(spark):
+    rng = random.Random(12)
+    rows = [(int(k % 7 == 0), words(rng, 40, 300) + (" Übel xy1234567" if k % 7 == 0 else "")) for k in range(200)] + [(0, None), (1, "")]
+    want = {}
+    for y, text in rows:
+        for term in T.terms_of(text):
+            a, b = want.get(term, (0, 0))
+            want[term] = (a + y, b + 1 - y)
+    df = spark.createDataFrame(rows, "y int, t string").repartition(5)
+    got = {r["term"]: (r["a"], r["b"]) for r in T.term_counts(df).collect()}
+    assert got == {t: c for t, c in want.items() if c[0] >= T.MIN_TOXIC_ROWS}
