@@ -90,10 +90,11 @@ QUERIES = {
 _LINE_SPREAD_SQL = f"""
 with docs as (
     select row_number() over () as r, doc_id, coalesce('=' || source, '') as site, text from documents),
+texts as (select text, min(site) as site from docs group by text),
 cut as (
-    select r, site, unnest(string_split(text, chr(10))) as raw,
-           generate_subscripts(string_split(text, chr(10)), 1) as pos
-    from docs),
+    select r, docs.text, texts.site, unnest(string_split(docs.text, chr(10))) as raw,
+           generate_subscripts(string_split(docs.text, chr(10)), 1) as pos
+    from docs join texts on docs.text = texts.text),
 lines as (select *, trim(raw, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) as line from cut),
 wide as (
     select line from lines where line <> '' group by line
@@ -102,12 +103,9 @@ marked as (select lines.*, wide.line is not null as goes from lines left join wi
 less as (
     select r, coalesce(string_agg(raw, chr(10) order by pos) filter (where not goes), '') as rest,
            count(*) filter (where goes) as n
-    from marked group by r),
-judged as (
-    select doc_id, text, rest, n,
-           coalesce(n > 0 and length(rest) >= {1 - line_spread.MAX_SHARE} * length(text), false) as partly
-    from docs left join less using (r))
-select doc_id, if(partly, n, 0) as removed_lines, if(partly, rest, text) as clean_text from judged
+    from marked group by r)
+select doc_id, coalesce(n, 0) as removed_lines, if(coalesce(n, 0) > 0, rest, text) as clean_text
+from docs left join less using (r)
 """
 
 #: All pairs of sets that share a shingle, counted; components by closure.
