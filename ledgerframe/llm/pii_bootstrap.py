@@ -1,8 +1,9 @@
 """Personal data by bootstrapped contextual extraction (operator 10).
 
 Seeds are what the base expressions find: e-mail addresses, IP addresses, payment cards
-that pass the Luhn check, and phone numbers. The words around the seeds induce lexical
-patterns (one or two words to the left, or one on either side). Patterns and instances
+that pass the Luhn check, and phone numbers; and runs of letters and digits that look like
+keys or tokens (kind ``secret``, in ``spans`` but no base span). The words around the seeds
+induce lexical patterns (one or two words to the left, or one on either side). Patterns and instances
 form a graph: a pattern is as trustworthy as the share of its distinct instances that
 are known to be of one kind, of those that are known or dropped; unseen ones count
 ``UNSEEN_WEIGHT`` each, as they are what the pattern is to find. An unseen identifier is
@@ -23,7 +24,9 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,6 +36,12 @@ from pyspark.sql import functions as F
 from ledgerframe.llm.common import cut
 
 KINDS = ("email", "ip", "card", "phone")
+SPAN_KINDS = (*KINDS, "secret")
+SECRET = len(KINDS)
+#: A seed of kind secret: an unbroken run of this many letters and digits or more, with both
+#: of them, and of this many bits a character or more (hexadecimal and richer alphabets apart).
+SECRET_HEX, SECRET_MIXED = 32, 24
+HEX_BITS, MIXED_BITS = 3.0, 3.8
 MIN_PATTERN = 0.8
 MIN_SUPPORT = 3
 MIN_INSTANCE = 0.9
@@ -53,6 +62,8 @@ _TOKEN = re.compile(r"[A-Za-z0-9][A-Za-z0-9@._+/-]*")
 _TOKEN_CHAR = re.compile(r"[A-Za-z0-9@._+/-]")
 _GROUPS = re.compile(r"(?<![A-Za-z0-9@._+/-])[A-Z0-9]{2,5}(?:\x20[A-Z0-9]{2,5})+(?![A-Za-z0-9@+/-])")
 _WORD = re.compile(r"[^\s]+")
+_RUN = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{24,}(?![A-Za-z0-9_+/=-])")
+_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -98,6 +109,35 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
     return found, dropped
 
 
+def entropy(run: str) -> float:
+    """Bits a character of a run of characters."""
+    return sum(-n / len(run) * math.log2(n / len(run)) for n in Counter(run).values())
+
+
+def secrets(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs that look like keys or tokens and don't overlap the spans in ``taken``.
+
+    Hexadecimal runs need letters and digits, others capitals and small letters as well, so
+    words, numbers, paths and names in one case are none.
+    """
+    out, k, taken, upto = [], 0, sorted(taken), 0
+    for m in _RUN.finditer(text):
+        run = m[0].rstrip("=")
+        while k < len(taken) and taken[k][0] < m.end():
+            upto = max(upto, taken[k][1])
+            k += 1
+        if m.start() < upto or not _DIGIT.search(run):
+            continue
+        if _HEX.fullmatch(run):
+            ok = len(run) >= SECRET_HEX and not run.isdigit() and entropy(run) >= HEX_BITS
+        else:
+            ok = (run.lower() != run and run.upper() != run and run.count("-") + run.count("/") <= len(run) // 8
+                  and entropy(run) >= MIXED_BITS)
+        if ok:
+            out.append((m.start(), m.start() + len(run)))
+    return out
+
+
 def grouped(text: str) -> list[tuple[int, int]]:
     """Identifiers written in groups: neighbouring groups that each hold a digit."""
     out = []
@@ -173,10 +213,13 @@ def mentions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 # a match that is the rest of groups beginning with a letter is none of its own
                 whole = [g for g in grouped(text) if text[g[0]].isalpha()] if dropped else []
                 dropped = [d for d in dropped if not any(a < d[0] and d[1] <= b for a, b in whole)]
-                rest = candidates(text, [s[1:] for s in found] + dropped)
+                keys = secrets(text, [s[1:] for s in found])
+                dropped = [d for d in dropped if not any(a <= d[0] and d[1] <= b for a, b in keys)]
+                rest = candidates(text, [s[1:] for s in found] + dropped + keys)
                 base.append([{"kind": k, "start": a, "stop": b} for k, a, b in found])
                 seen.append([{"kind": k, "start": a, "stop": b, "surface": text[a:b], "patterns": patterns(text, a, b)}
-                             for k, a, b in [*found, *((-1, *s) for s in dropped), *((-2, *s) for s in rest)]])
+                             for k, a, b in [*found, *((SECRET, *s) for s in keys), *((-1, *s) for s in dropped),
+                                         *((-2, *s) for s in rest)]])
             yield pd.DataFrame({"id": batch["id"], "t1": batch["t1"], "t2": batch["t2"], "base": base, "seen": seen})
 
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -230,21 +273,24 @@ def discovered(seen: DataFrame) -> DataFrame:
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, base, spans)`` per input row; both are arrays of ``(kind, start, stop)``, in order."""
     rows = cut(mentions(docs, id_col, text_col))
+    # equal texts have equal mentions: folded before they are joined by text
     seen = rows.select("t1", "t2", F.explode("seen").alias("x")).select("t1", "t2", "x.*").distinct()
     found = discovered(seen.select("kind", "surface", F.explode("patterns").alias("pattern")))
     added = (seen.where("kind = -2").select("t1", "t2", "surface", "start", "stop").join(found, "surface")
              .groupBy("t1", "t2").agg(F.collect_list(F.struct("kind", "start", "stop")).alias("added")))
     base = F.array_sort("base")
     empty = F.array().cast("array<struct<kind:int,start:int,stop:int>>")
-    return (rows.drop("seen").join(added, ["t1", "t2"], "left")
+    keys = F.transform(F.filter("seen", lambda x: x["kind"] == SECRET),
+                       lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["stop"].alias("stop")))
+    return (rows.select("id", "t1", "t2", "base", keys.alias("keys")).join(added, ["t1", "t2"], "left")
             .select("id", base.alias("base"),
-                    F.array_sort(F.concat(base, F.coalesce("added", empty))).alias("spans")))
+                    F.array_sort(F.concat(base, "keys", F.coalesce("added", empty))).alias("spans")))
 
 
 def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The contract's columns: counts of base spans, their hash, and all spans as text."""
     found = find_personal_data(docs, id_col, text_col)
-    names = F.array(*map(F.lit, KINDS))
+    names = F.array(*map(F.lit, SPAN_KINDS))
 
     def joined(col: str):
         return F.array_join(F.transform(col, lambda s: F.concat_ws(

@@ -133,3 +133,44 @@ def test_identifiers_in_groups_are_candidates():
     at = text.index("DE89")
     assert P.grouped(text) == [(at, at + 27)] == P.candidates(text, [])
     assert P.candidates("ref AB12 3456 on 4 MAY", []) == [(4, 13)]
+
+
+def test_secrets_are_seeds_and_bring_in_unlike_ones(spark, no_docs):
+    """Keys and tokens become spans of their own kind; base columns don't change."""
+    rng = random.Random(21)
+
+    def made(chars, n):
+        return "".join(rng.choice(chars) for _ in range(n))
+
+    low, mixed = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    tokens = [made(low, 40) for _ in range(30)] + ["aZ9" + made(mixed, 33) for _ in range(10)]
+    rows = [(k, f'{words(rng, 5)}\ntoken = "{t}" in the file', "en", "s", 0) for k, t in enumerate(tokens)]
+    # too short to be a seed, found by its context
+    rows.append((100, f'{words(rng, 5)}\ntoken = "{made("0123456789", 9)}" in the file', "en", "s", 0))
+    clean = ["a" * 50, "1" * 40, "the-quick-brown-fox-jumps-over-12-lazy-dogs", "/usr/share/Lib/python3/dist/packages/x",
+             "internationalisation of 2024 Donaudampfschifffahrtsgesellschaft"]
+    rows += [(200 + k, t, "en", "s", 0) for k, t in enumerate(clean)]
+    got = {r["doc_id"]: r for r in P.digest(spark.createDataFrame(rows, no_docs.schema)).collect()}
+    for k, t in enumerate(tokens):
+        at = rows[k][1].index(t)
+        assert got[k]["spans"] == f"secret:{at}:{at + len(t)}"
+        assert got[k]["base_sha256"] == got[200]["base_sha256"] and got[k]["n_card"] == 0
+    assert got[100]["spans"].startswith("secret:")
+    assert all(got[200 + k]["spans"] == "" for k in range(len(clean)))
+
+
+def test_given_secrets_are_found(spark):
+    from ledgerframe.llm.common import read_table
+    import os
+    import re
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        return
+    docs = read_table(spark, sf, "documents")
+    spans = {r["doc_id"]: r["spans"].split(",") for r in P.digest(docs).select("doc_id", "spans").collect()}
+    found = 0
+    for r in docs.select("doc_id", "text").collect():
+        for m in re.finditer(r'token = "([0-9a-f]{40})"', r["text"] or ""):
+            found += 1
+            assert f"secret:{m.start(1)}:{m.end(1)}" in spans[r["doc_id"]]
+    assert found
