@@ -38,7 +38,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerframe.llm.common import BitTable, cut
+from ledgerframe.llm.common import BitTable, cut, stored
 
 #: Rows of labelled text that the classifier is fitted on, on average at most.
 FIT_ROWS = 20_000
@@ -141,7 +141,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     # texts without a label stay out of the join
     some = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("t")).where(named(F.xxhash64("_id")))
     place = F.pmod(F.xxhash64(F.lit("fit"), "_id"), F.lit(1 << 30)) / (1 << 30)
-    return some.join(usable, "_id").select("y", "t", place.alias("place"))
+    # labels grow with the documents, so they are never broadcast: the same join at every size
+    return some.join(usable.hint("merge"), "_id").select("y", "t", place.alias("place"))
 
 
 def term_counts(rows: DataFrame, min_toxic: int = MIN_TOXIC_ROWS) -> DataFrame:
@@ -331,7 +332,7 @@ class ToxicityModel:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         fit_rows: int = FIT_ROWS) -> ToxicityModel:
     """Mines lexicons, fits the label model on all documents' votes, trains the classifier."""
-    rows = cut(training_rows(docs, labels, id_col, text_col))
+    rows = stored(training_rows(docs, labels, id_col, text_col))
     terms = mine_lexicon(rows)
     lexicon = Lexicon(terms)
     general = np.zeros(len(terms) + len(VOTERS))
