@@ -9,8 +9,11 @@ seeds. Around the seeds, local alignment of words scores exact, paraphrased and
 copies: a match counts 1, a differing, missing or added word -1. A document is reported
 for an item if the best score is at least ``MIN_SCORE`` of the item's words.
 
-Defined cases: a null or empty text matches nothing; an item of fewer than
-``MIN_ITEM_WORDS`` words is too short to be evidence and takes no part; items with
+An item of fewer than ``MIN_ITEM_WORDS`` words is found where all of it stands, word for
+word. One of fewer than ``SEED_WORDS`` words is its own seed, and evidence only if it is
+rare among the documents (``RARE_SHARE``, or in one document).
+
+Defined cases: a null or empty text and an item without words match nothing; items with
 repeated ids are aligned one by one and the best counts; repeated documents are reported
 once per (id, item); rows with null ids take no part; an empty table gives an empty
 result; other columns are not read.
@@ -37,27 +40,28 @@ _CELLS = 1 << 21
 
 
 def item_grams(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``(item, part, words, grams)``: hashed words and seed n-grams of each usable item."""
+    """``(item, part, words, grams)``: hashed words and seed n-grams of each item that has words."""
     id_type = items.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             words = [word_hashes(t) for t in batch["t"]]
-            grams = [shingles(w, SEED_WORDS).view(np.int64) for w in words]
+            grams = [shingles(w, max(1, min(SEED_WORDS, len(w)))).view(np.int64) for w in words]
             yield pd.DataFrame({"item": batch["i"], "words": [w.view(np.int64) for w in words], "grams": grams})
 
     found = (items.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
              .select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).distinct()
              .mapInPandas(run, f"item {id_type}, words array<long>, grams array<long>"))
-    return (found.where(F.size("words") >= MIN_ITEM_WORDS)
+    return (found.where(F.size("words") > 0)
             .withColumn("part", F.xxhash64("item", "words")))
 
 
-def _places(docs: DataFrame, id_col: str, text_col: str, table: BitTable, around: int) -> DataFrame:
+def _places(docs: DataFrame, id_col: str, text_col: str, table: BitTable, around: int,
+            lengths: list[int]) -> DataFrame:
     """Stretches of documents around n-grams that may be an item's.
 
     ``doc, base, words, grams, at``: hashed words from word ``base`` on, and the n-grams
-    in question with their places in the document.
+    in question with their places in the document. ``lengths`` are the n-grams' lengths.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"doc {id_type}, base int, words array<long>, grams array<long>, at array<int>"
@@ -67,14 +71,19 @@ def _places(docs: DataFrame, id_col: str, text_col: str, table: BitTable, around
             out = []
             for doc, text in zip(batch["i"], batch["t"]):
                 words = word_hashes(text)
-                grams = shingles(words, SEED_WORDS)
-                hit = np.flatnonzero(table.has(grams))
+                every = [shingles(words, n) for n in lengths]
+                at = [np.flatnonzero(table.has(grams)) for grams in every]
+                hit = np.concatenate(at)
                 if not len(hit):
                     continue
-                for run_ in np.split(hit, np.flatnonzero(np.diff(hit) > around) + 1):
+                grams = np.concatenate([g[x] for g, x in zip(every, at)])
+                order = np.argsort(hit, kind="stable")
+                hit, grams = hit[order], grams[order]
+                for some in np.split(np.arange(len(hit)), np.flatnonzero(np.diff(hit) > around) + 1):
+                    run_ = hit[some]
                     base = max(0, int(run_[0]) - around)
                     stretch = words[base:int(run_[-1]) + SEED_WORDS + around]
-                    out.append((doc, base, stretch.view(np.int64), grams[run_].view(np.int64), run_.astype(np.int32)))
+                    out.append((doc, base, stretch.view(np.int64), grams[some].view(np.int64), run_.astype(np.int32)))
             yield pd.DataFrame(out, columns=["doc", "base", "words", "grams", "at"])
 
     return docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()) \
@@ -120,20 +129,24 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     and ``end_word`` the word of the document at which the best alignment ends.
     """
     grams = cut(item_grams(items, item_id_col, item_text_col))
-    around = int((grams.agg(F.max(F.size("words"))).first()[0] or 0) * 1.25) + 1
+    n_words = F.size("words")
+    longest, lengths = grams.agg(F.max(n_words), F.collect_set(F.least(n_words, F.lit(SEED_WORDS)))).first()
+    around = int((longest or 0) * 1.25) + 1
     table = BitTable(grams.select(F.explode("grams").alias("gram")), "gram", TABLE_BITS)
-    places = cut(_places(docs, id_col, text_col, table, around))
+    places = cut(_places(docs, id_col, text_col, table, around, sorted(lengths) or [SEED_WORDS]))
     places = places.withColumn("place", F.xxhash64("doc", "base", "words"))
     seen = places.select("doc", "place", F.explode(F.arrays_zip("grams", "at")).alias("x")) \
         .select("doc", "place", F.col("x.grams").alias("gram"), F.col("x.at").alias("at"))
     # how many documents hold each n-gram, over all documents
     held = seen.groupBy("gram").agg(F.count_distinct("doc").alias("held"))
     most = F.lit(rare_share) * docs.agg(F.count("*")).scalar()
-    of_item = grams.select("item", "part", F.posexplode("grams").alias("pos", "gram")) \
+    short = (n_words < SEED_WORDS).alias("short")
+    of_item = grams.select("item", "part", short, F.posexplode("grams").alias("pos", "gram")) \
         .join(held, "gram")
     middle = of_item.groupBy("item", "part").agg(F.percentile("held", F.lit(0.5)).alias("middle"))
     seeds = (of_item.join(middle, ["item", "part"])
-             .where((F.col("held") <= most) | (F.col("held") <= F.col("middle")))
+             .where(F.when(F.col("short"), F.col("held") <= F.greatest(most, F.lit(1.0)))
+                    .otherwise((F.col("held") <= most) | (F.col("held") <= F.col("middle"))))
              .select("gram", "item", "part", "pos"))
     start = (F.col("at") - F.col("pos")).alias("start")
     pairs = (seen.join(seeds, "gram").select("doc", "place", "item", "part", start)
@@ -172,7 +185,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
                 best[some], end[some] = align([a[i] for i in some], [b[i] for i in some])
                 at += size
             length = np.array([len(x) for x in a])
-            ok = np.flatnonzero(best >= min_score * length)
+            ok = np.flatnonzero(best >= np.where(length < MIN_ITEM_WORDS, length, min_score * length))
             of = np.array(rows)[ok]
             yield pd.DataFrame({
                 "doc": batch["doc"].to_numpy()[of], "item": batch["item"].to_numpy()[of],

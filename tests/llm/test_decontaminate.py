@@ -74,6 +74,36 @@ def test_half_an_item_in_a_very_long_text(spark, no_docs):
     assert [(r["doc_id"], r["item_id"], r["end_word"]) for r in out] == [(1, 7, 30_030)]
 
 
+def test_short_items_are_found_where_all_of_them_stands(spark, no_docs):
+    rng = random.Random(12)
+    items = [(k, words(rng, n)) for k, n in enumerate([1, 2, 3, 3, 4, 5, 6, 7, 7, 8])]
+    items += [(20, "every where"), (21, "every"), (22, "word\u00c4 alone"), (23, "  ")]
+    rows = []
+    for i in range(400):
+        text = words(rng, 60).split()
+        if i % 40 == 3:  # whole, in the case of the item or in another
+            text[20:20] = items[i // 40 % 10][1].upper().split()
+        if i % 40 == 7:  # one word is another one
+            part = items[i // 40 % 10][1].split()
+            text[20:20] = [*part[:-1], "other"]
+        rows.append((i, " ".join(["every where", *text, "every where"]), "en", "s", 0))
+    rows.append((400, "a word\u00c4 alone", "en", "s", 0))
+    docs = spark.createDataFrame(rows, no_docs.schema)
+    out = D.leaks(docs, spark.createDataFrame(items, ITEMS)).collect()
+
+    def holds(text, item):
+        a, b = item.lower().split(), text.lower().split()
+        return any(b[k:k + len(a)] == a for k in range(len(b) - len(a) + 1))
+
+    due = {(i, k) for i, text, *_ in rows for k, item in items if 0 < len(item.split()) < 8 and holds(text, item)}
+    # items of one to three words that stand in more than one document in a thousand are no evidence
+    spread = {k for k, item in items if len(item.split()) < 4 and sum(x == k for _, x in due) > 1}
+    assert {20, 21} <= spread and (400, 22) in due
+    got = {(r["doc_id"], r["item_id"]) for r in out if r["item_words"] < 8}
+    assert got == {(d, k) for d, k in due if k not in spread}
+    assert all(r["score"] == 1.0 for r in out if r["item_words"] < 8)
+
+
 def test_defined_cases(spark, edge_docs, edge_rows, clashing_docs, no_docs, rows_of):
     text = edge_rows[4][1]
     item = " ".join(text.split()[100:140])
