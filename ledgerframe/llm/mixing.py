@@ -34,6 +34,8 @@ BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
 BUCKETS = 4096
 _BINS = 1024
+#: Rounds of the index permutations: each swaps about half of the pairs of a random pairing.
+ROUNDS = 32
 #: Primes above any block count, so prime to it: multipliers of the index permutations.
 _PRIMES = (1_099_511_627_791, 2_199_023_255_579, 4_398_046_511_119, 8_796_093_022_237)
 
@@ -99,12 +101,25 @@ def _times(a: Column, x: Column, n: Column) -> Column:
 
 
 def permuted(j: Column, n: Column, src: Column, seed: int) -> Column:
-    """Block of draw j: a pseudorandom permutation of 0..n-1 for each source and pass."""
+    """Block of draw j: a pseudorandom permutation of 0..n-1 for each source and pass.
+
+    Swap-or-not shuffle: in each round a random key pairs x with key - x, and a hash of the
+    pair says whether its two change places. This holds for any n, and a block is
+    computed from its index alone. The rounds start from an affine map.
+    """
     turn, at = F.floor(j / n), F.pmod(j, n)
     key = F.xxhash64(F.lit(seed), src, turn)
     prime = F.element_at(F.array(*map(F.lit, _PRIMES)), (F.pmod(key, F.lit(len(_PRIMES))) + 1).cast("int"))
     shift = F.pmod(F.xxhash64(F.lit(seed + 1), src, turn), n)
-    return F.pmod(_times(F.pmod(prime, n), at, n) + shift, n)
+    start = F.pmod(_times(F.pmod(prime, n), at, n) + shift, n)
+
+    def swapped(x: Column, turn_key: Column) -> Column:
+        other = F.pmod(F.pmod(turn_key, n) - x, n)
+        swap = F.xxhash64(turn_key, F.greatest(x, other)).bitwiseAND(F.lit(1)) == 1
+        return F.when(swap, other).otherwise(x)
+
+    keys = F.transform(F.sequence(F.lit(1), F.lit(ROUNDS)), lambda r: F.xxhash64(key, r))
+    return F.aggregate(keys, start, swapped)
 
 
 def draws(sources: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = 5) -> DataFrame:

@@ -78,6 +78,19 @@ def test_permutation(spark, n):
     assert sorted(r["b"] for r in got[:n]) == list(range(n)) == sorted(r["b"] for r in got[n:])
 
 
+def test_permutation_is_no_line(spark):
+    n = 5000
+    got = [r[0] for r in spark.range(2 * n).select(
+        M.permuted(F.col("id"), F.lit(n).cast("long"), F.lit("=s"), 5).alias("b")).collect()]
+    steps = [(b - a) % n for a, b in zip(got, got[1:])]
+    # an affine map has one step; of n random steps about 1 - 1/e of all values occur
+    assert len(set(steps)) > n * 0.55
+    assert sum(a == b for a, b in zip(got[:n], got[n:])) < 10  # the second pass goes another way
+    for part in (got[:n], got[n:]):  # a stretch of indexes falls on all tenths of the blocks alike
+        tenths = [sum(b * 10 // n == k for b in part[:1000]) for k in range(10)]
+        assert sum((x - 100) ** 2 / 100 for x in tenths) < 30
+
+
 def test_multiplication_beyond_64_bits(spark):
     n = (1 << 40) - 87
     a, x = n - 12345, n - 987654321
