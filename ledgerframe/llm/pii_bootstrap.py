@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -49,7 +50,8 @@ MIN_INSTANCE = 0.9
 UNSEEN_WEIGHT = 0.1
 MIN_DIGITS = 4
 MIN_LENGTH = 6
-_CONTEXT = 64
+#: A longer word is no context but data of some kind.
+MAX_WORD = 64
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -183,19 +185,51 @@ def candidates(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]
     return sorted(out + spaced)
 
 
-def patterns(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns around a span, on its own line."""
-    left = _WORD.findall(text[max(0, start - _CONTEXT):start].rpartition("\n")[2].lower())[-2:]
-    right = _WORD.findall(text[end:end + _CONTEXT].partition("\n")[0].lower())[:1]
-    # a word with a digit is an instance rather than context
-    if not left or _DIGIT.search(left[-1]):
-        return []
-    out = [f"{left[-1]} _"]
-    if len(left) == 2 and not _DIGIT.search(left[0]):
-        out.append(f"{left[0]} {left[-1]} _")
-    if right and not _DIGIT.search(right[0]):
-        out.append(f"{left[-1]} _ {right[0]}")
-    return out
+class Words:
+    """The words of a text with their lines, found in one pass; ``patterns`` looks around a span.
+
+    What adjoins a span without white space is a word of its own.
+    """
+
+    def __init__(self, text: str) -> None:
+        self.text, self.first, self.last, self.line = text, [], [], []
+        line = upto = 0
+        for m in _WORD.finditer(text):
+            line += text.count("\n", upto, m.start())
+            upto = m.end()
+            self.first.append(m.start())
+            self.last.append(upto)
+            self.line.append(line)
+
+    def _word(self, start: int, end: int) -> str | None:
+        """The word, unless it is too long or holds a digit: that is an instance rather than context."""
+        word = self.text[start:end] if end - start <= MAX_WORD else "0"
+        return None if _DIGIT.search(word) else word.lower()
+
+    def patterns(self, start: int, end: int) -> list[str]:
+        """Lexical patterns around a span, on its own line."""
+        at, past = bisect_right(self.first, start) - 1, bisect_left(self.last, end)
+        here, there = self.line[at], self.line[past]
+        left = []
+        if self.first[at] < start:
+            left.append((self.first[at], start))
+        for k in range(at - 1, max(-1, at - 3), -1):
+            if self.line[k] == here:
+                left.append((self.first[k], self.last[k]))
+        near = self._word(*left[0]) if left else None
+        if near is None:
+            return []
+        out = [f"{near} _"]
+        if len(left) > 1 and (far := self._word(*left[1])) is not None:
+            out.append(f"{far} {near} _")
+        right = None
+        if self.last[past] > end:
+            right = self._word(end, self.last[past])
+        elif past + 1 < len(self.first) and self.line[past + 1] == there:
+            right = self._word(self.first[past + 1], self.last[past + 1])
+        if right is not None:
+            out.append(f"{near} _ {right}")
+        return out
 
 
 def mentions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -217,9 +251,10 @@ def mentions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 dropped = [d for d in dropped if not any(a <= d[0] and d[1] <= b for a, b in keys)]
                 rest = candidates(text, [s[1:] for s in found] + dropped + keys)
                 base.append([{"kind": k, "start": a, "stop": b} for k, a, b in found])
-                seen.append([{"kind": k, "start": a, "stop": b, "surface": text[a:b], "patterns": patterns(text, a, b)}
-                             for k, a, b in [*found, *((SECRET, *s) for s in keys), *((-1, *s) for s in dropped),
-                                         *((-2, *s) for s in rest)]])
+                spans = [*found, *((SECRET, *s) for s in keys), *((-1, *s) for s in dropped), *((-2, *s) for s in rest)]
+                around = Words(text) if spans else None
+                seen.append([{"kind": k, "start": a, "stop": b, "surface": text[a:b], "patterns": around.patterns(a, b)}
+                             for k, a, b in spans])
             yield pd.DataFrame({"id": batch["id"], "t1": batch["t1"], "t2": batch["t2"], "base": base, "seen": seen})
 
     text = F.coalesce(F.col(text_col), F.lit(""))

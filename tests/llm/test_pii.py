@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from conftest_llm import words
 from hypothesis import given, settings
@@ -174,3 +175,40 @@ def test_given_secrets_are_found(spark):
             found += 1
             assert f"secret:{m.start(1)}:{m.end(1)}" in spans[r["doc_id"]]
     assert found
+
+
+def plain_patterns(text, start, end):
+    """The words that a plain split finds on either side of the span."""
+    lines_before, after = text[:start].rpartition("\n")[2], text[end:].partition("\n")[0]
+
+    def usable(word):
+        return len(word) <= P.MAX_WORD and not any(c.isdigit() for c in word)
+
+    left, right = lines_before.split(), after.split()
+    if not left or not usable(left[-1]):
+        return []
+    out = [f"{left[-1]} _".lower()]
+    if len(left) > 1 and usable(left[-2]):
+        out.append(f"{left[-2]} {left[-1]} _".lower())
+    if right and usable(right[0]):
+        out.append(f"{left[-1]} _ {right[0]}".lower())
+    return out
+
+
+def test_patterns_match_a_plain_split():
+    rng = random.Random(21)
+    parts = ["Mail", "to:", "id=", " ", " " * 90, "\n", "\t", "x" * 64, "x" * 65, "y" * 200, "Call", "7", "(", ")", "Ä"]
+    for _ in range(3000):
+        before = "".join(rng.choice(parts) for _ in range(rng.randrange(8)))
+        after = "".join(rng.choice(parts) for _ in range(rng.randrange(8)))
+        span = rng.choice(["a@b.co", "4000 1234 9999", "+41 44"])
+        text = before + span + after
+        start, end = len(before), len(before) + len(span)
+        assert P.Words(text).patterns(start, end) == plain_patterns(text, start, end), text
+
+
+def test_patterns_of_many_spans_in_one_word_take_linear_time():
+    text = "k=" + "123456789;" * 200_000
+    around, began = P.Words(text), time.monotonic()
+    assert all(around.patterns(a, a + 9) == [] for a in range(12, len(text), 10))
+    assert time.monotonic() - began < 20
