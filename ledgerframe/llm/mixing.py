@@ -150,6 +150,8 @@ def draws(sources: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = 5) ->
     plan = (plan.join(sources.select("src", "blocks", "allot"), "src")
             .withColumn("stop", F.least(F.col("start") + F.col("n"), "allot"))
             .where("start < stop"))
+    # few small rows stand for many draws, so their number of tasks is not left to their bytes
+    plan = plan.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "src", "shard")
     return (plan.select("src", "shard", "blocks",
                         F.explode(F.sequence(F.col("start"), F.col("stop") - 1)).alias("draw"))
             .withColumn("block", permuted(F.col("draw"), F.col("blocks"), F.col("src"), seed))
