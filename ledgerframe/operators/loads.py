@@ -37,10 +37,19 @@ def _target_keys(new: DataFrame, target: DataFrame, pk: list[str], range_key: st
 
 
 def _on_dates(new: DataFrame, range_key: str) -> Column:
-    """Whether a row bears a date of the new rows: a scalar subquery of one array with each
-    calendar day once at most, which Spark evaluates before it lists partitions."""
-    days = new.agg(F.collect_set(range_key)).scalar()
-    return F.coalesce(F.array_contains(days, F.col(range_key)), F.lit(False))
+    """Whether a row bears a date of the new rows: a scalar subquery with one bit for each
+    calendar day between their first and last, which Spark evaluates before it lists
+    partitions. A row looks its own bit up, so the test costs the same however many days
+    there are."""
+    day = F.unix_date(F.col(range_key).cast("date"))
+    words = new.filter(F.col(range_key).isNotNull()).groupBy(F.shiftright(day, 6).alias("w")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), day.bitwiseAND(F.lit(63)))).alias("b"))
+    ends = words.agg(F.min("w").alias("lo"), F.max("w").alias("hi"),
+                     F.map_from_entries(F.collect_list(F.struct("w", "b"))).alias("m"))
+    days = ends.select(F.struct("lo", F.transform(F.sequence("lo", "hi"), lambda w: F.coalesce(
+        F.try_element_at("m", w), F.lit(0).cast("long"))).alias("bits"))).scalar()
+    word = F.get(days.getField("bits"), F.shiftright(day, 6) - days.getField("lo"))
+    return F.coalesce(F.getbit(word, day.bitwiseAND(F.lit(63))) == 1, F.lit(False))
 
 
 def _flagged(df: DataFrame, contract: Contract, bad_flag: str | None) -> DataFrame:

@@ -110,6 +110,20 @@ def test_upsert_joins_only_the_range_it_can_change(spark):
     assert none.count() == 3
 
 
+def test_target_rows_look_their_date_up_without_a_search(spark):
+    """A target row costs the same whether the new rows bear one date or thousands of them."""
+    days = [D(1, 1, 3), D(1883, 11, 18), D(1969, 12, 31), D(1970, 1, 1), D(9999, 12, 31),
+            *[D(2024, 1, 1) + dt.timedelta(days=3 * i) for i in range(4000)]]
+    new = spark.createDataFrame([(d,) for d in [*days, *days[:9], None]], "trade_date date")
+    near = {d + dt.timedelta(days=k) for d in days if d.year < 9999 for k in (-1, 0, 1, 64)} | {D(9999, 12, 30), D(9999, 12, 31)}
+    target = spark.createDataFrame([(d,) for d in [*sorted(near), None]], "trade_date date")
+    found = target.filter(L._on_dates(new, "trade_date"))
+    assert [d for d, in rows(found)] == sorted(days)
+    assert target.filter(L._on_dates(new.limit(0), "trade_date")).count() == 0
+    assert target.filter(L._on_dates(new.filter("trade_date is null"), "trade_date")).count() == 0
+    assert "array_contains" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_load_report_and_code_list(spark):
     offered = spark.createDataFrame([("a",), ("a",), ("b",)], "symbol string")
     got = rows(L.load_report(offered, offered.where("symbol = 'b'"), "symbol"))
