@@ -18,7 +18,8 @@ its own shingles meets nobody there, so a group of near copies or a shared passa
 compared by pairs. All members of such a bucket meet its centre, the one with the fewest
 shingles of its own. What two members have in common is bounded by what each has of the
 centre and what each has beyond it in others' sets; where that is enough they meet in turn,
-with four hubs, sixteen and so on, until all members are connected or have been hubs. So the
+with 16 hubs, 128 and so on, until all members are connected or have been hubs. Two
+members of several buckets meet in the one with the least key alone. So the
 components are those of all candidate pairs.
 
 Defined cases: a null or empty text, or one of white space alone, has an empty set, links to
@@ -45,6 +46,8 @@ SHINGLE_WORDS = 4
 PERCENT = 80
 #: Groups of hash functions, two bands each, and functions in a group.
 GROUPS, ROWS = 15, 5
+#: Least bucket keys that each member knows of itself.
+LEAST_KEYS = 6
 #: Texts are sketched together until they hold this many shingles.
 _CHUNK = 1 << 15
 _RNG = np.random.default_rng(11)
@@ -154,18 +157,29 @@ def _hubs(members: DataFrame, many: int) -> DataFrame:
         "key", F.col("node").alias("hub"), *[F.col(c).alias(f"hub_{c}") for c in ("n", "common", "beyond", "class", "k")])
 
 
-def _meeting(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
+def _least_keys(members: DataFrame) -> DataFrame:
+    """``(node, keys)``: the least keys of all buckets of each member."""
+    # at most the prefix of one set is gathered
+    return members.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("key")), 1, LEAST_KEYS).alias("keys"))
+
+
+def _meeting(members: DataFrame, hubs: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
     """``(a, b)``: members and hubs of one bucket and different classes of which enough can be common.
 
     ``common`` shingles of a member are its bucket's centre's too and ``beyond`` more stand
     in other members' sets, so two members have no more in common than the lesser of each.
+    That holds in each of their buckets, so one of them decides: the least among the keys
+    that both know of. Without such a key a pair may come from several buckets.
     """
     most = F.least("common", "hub_common") + F.least("beyond", "hub_beyond")
-    return (members.join(hubs, "key")
+    least = F.array_min(F.array_intersect("keys", "hub_keys"))
+    hubs = hubs.join(keys.select(F.col("node").alias("hub"), F.col("keys").alias("hub_keys")), "hub")
+    return (members.join(keys, "node").join(hubs, "key")
             .where(F.col("k").isNull() | (F.col("k") > F.col("hub_k")))  # of two hubs the better meets the other
             .where((F.col("node") != F.col("hub")) & (F.col("class") != F.col("hub_class")))
             .where((100 + percent) * most >= percent * (F.col("n") + F.col("hub_n")))
-            .select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct())
+            .where(F.coalesce(least, "key") == F.col("key"))
+            .select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")))
 
 
 def _apart(members: DataFrame, of: DataFrame) -> DataFrame:
@@ -222,20 +236,21 @@ def components(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     found = cut(found.unionByName(met.where("linked AND a <> b").select("a", "b")))
     of = connected_components(found, "a", "b")
     members = centres.join(met.select(F.col("a").alias("node"), F.col("b").alias("hub"), "common"), ["node", "hub"]) \
-        .where("node <> hub").withColumn("beyond", F.col("held") - F.col("common")).drop("hub")
-    members, many = _apart(members, of), 4
+        .where("node <> hub").withColumn("beyond", F.col("held") - F.col("common")).drop("hub", "held")
+    members, many = _apart(members, of), 16
+    keys = stored(_least_keys(members))
     while not members.isEmpty():
         hubs = cut(_hubs(members, many))
         members = members.join(hubs.select("key", F.col("hub").alias("node"), F.col("hub_k").alias("k")),
                                ["key", "node"], "left")
-        near = cut(_meeting(members, hubs, percent).join(tested, ["a", "b"], "left_anti"))
+        near = cut(_meeting(members, hubs, keys, percent).distinct().join(tested, ["a", "b"], "left_anti"))
         new = cut(_overlaps(near, sets, percent).where("linked").select("a", "b"))
-        tested = cut(tested.unionByName(near))
+        tested = tested.unionByName(near)
         if not new.isEmpty():
-            found = cut(found.unionByName(new))
+            found = found.unionByName(new)
             of = connected_components(found, "a", "b")
         members = _apart(members.where(F.col("k").isNull()).drop("k"), of)
-        many *= 4
+        many *= 8
     return of
 
 

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 from conftest_llm import components, words
+from pyspark.sql import functions as F
 
 from ledgerframe.llm import minmax_dedup as M
 
@@ -96,6 +97,19 @@ def test_documents_that_share_a_passage_alone_stay_apart(spark):
     assert all(kept for *_, kept in found(docs))
 
 
+def test_two_members_of_many_buckets_meet_in_one(spark):
+    """Members that share 40 buckets, then two that know of no common key: each pair once, the last wherever it can."""
+    rows = [(key, node, 100, 60, 25, node) for key in range(40) for node in range(30)]
+    rows += [(key, node, 100, 60, 25, node) for node in (50, 51) for key in [*range(-40 * node, 40 - 40 * node), 100]]
+    members = spark.createDataFrame(rows, "key long, node long, n long, common long, beyond long, class long")
+    keys, members = M._least_keys(members), members.withColumn("score", -F.col("node"))
+    hubs = M._hubs(members, 4)
+    members = members.join(hubs.select("key", F.col("hub").alias("node"), F.col("hub_k").alias("k")), ["key", "node"], "left")
+    pairs = sorted(tuple(r) for r in M._meeting(members, hubs, keys, 60).collect())
+    assert pairs == sorted([(b, a) for a in range(4) for b in range(a + 1, 30)] + [(51, 50)])
+    assert not M._meeting(members, hubs, keys, 80).count()  # 85 of 115 at most
+
+
 def test_edge_rows(edge_docs, clashing_docs, edge_rows):
     want = sorted(expected(edge_rows), key=str)
     # a component of rows without any id has none
